@@ -1,13 +1,53 @@
-"""Corpus pipeline; its stages follow."""
+"""Corpus pipeline over documents: quality classifier, near-dedup, substring dedup, decontamination, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from sluice.llm import classifier, decontaminate, near, packing, substring
+from sluice.llm import common as C
+
+#: Most tokens, segments and loss-bearing tokens in a pack of documents.
+PACK_LIMITS = (8192, 32, 8192)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts."""
+    return classifier.accepted(docs, C.table(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near.drop_copies(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that occurred before; one of nothing else goes."""
+    return substring.without_repeats(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.decontaminated(docs, C.table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs of the documents that are left."""
+    return packing.document_packs(docs, PACK_LIMITS)
+
+
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("substring_dedup", substring_dedup), ("decontamination", decontamination), ("packing", pack)]
+#: SQL has neither the classifier nor the sampling: the stages are tested against brute-force versions in tests/llm.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written as Parquet in the shared folder and read again."""
+    docs = C.table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        docs = C.cut(docs) if i + 1 < len(STAGES) else docs
     return docs
