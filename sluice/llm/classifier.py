@@ -14,14 +14,14 @@ from . import common as C
 FIT_DOCS = 16_000
 #: Score from which a document is junk or toxic.
 REJECT = 0.5
-#: Hashed features: words and their first 4, 5 and 6 bytes; the first DENSE are bins of the text's shape.
+#: Hashed features: words and their first 4 to 7 bytes; the first DENSE are bins of the text's shape.
 BITS, DENSE = 20, 32
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7)
 #: Words that an untrained labeller takes for insults.
 INSULTS = ("idiot", "stupid", "moron", "loser", "pathetic", "scum", "worthless", "trash", "disgusting", "clown")
 #: Labellers, by task; a vote is 1 (bad), 0 (good) or -1 (none).
-JUNK = ("symbols", "shouting", "stutter", "bars", "sentences", "human")
-TOXIC = ("insults", "words", "prefixes", "human")
+JUNK = ("symbols", "shouting", "stutter", "bars", "sentences", "plain", "human")
+TOXIC = ("insults", "words", "prefixes", "silence", "human")
 _SHIFT = np.uint64(64 - BITS)
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"%#*&$|!@~^_=<>{}[]\\+", np.uint8))
 _BAR = np.isin(np.arange(256), np.frombuffer(b"|", np.uint8))
@@ -66,19 +66,23 @@ class Features:
         return np.stack([np.searchsorted(e, self.shape[:, i]) + 4 * i for i, e in enumerate(self.EDGES)], axis=1)
 
     def junk_votes(self) -> np.ndarray:
-        lo = np.array([0.02, 0.2, 0.03, 0.05, 60])
+        """Each shape's vote of bad, beyond its bound, or none; and a vote of good where all shapes are far below theirs."""
         hi = np.array([0.05, 0.5, 0.1, 0.25, 120])
-        v = np.where(self.shape > hi, 1, np.where(self.shape < lo, 0, -1))
-        v[self.count < 5] = -1
-        return v
+        plain = (self.shape < np.array([0.02, 0.2, 0.03, 0.05, 60])).all(axis=1) & (self.count >= 5)
+        return np.concatenate([np.where((self.shape > hi) & (self.count >= 5)[:, None], 1, -1), np.where(plain, 0, -1)[:, None]], axis=1)
+
+    def toxic_votes(self, simple: np.ndarray, learned: np.ndarray) -> np.ndarray:
+        """Votes of bad where a list's words or prefixes occur twice or more, or none; and a vote of good where none does at all."""
+        v = np.stack([self.hits(simple, slice(0, 1)), self.hits(learned, slice(0, 1)), self.hits(learned, slice(1, None))], axis=1)
+        return np.concatenate([np.where(v > 1, 1, -1), np.where(v.any(axis=1), -1, 0)[:, None]], axis=1)
 
     def hits(self, chosen: np.ndarray, kinds: slice) -> np.ndarray:
-        """Is any of a text's features of these kinds chosen."""
+        """How many words of a text have a chosen feature of these kinds."""
         n = len(self.count)
-        out = np.zeros(n, np.int64)
+        hit = np.zeros(len(self.doc), bool)
         for idx in self.index[kinds]:
-            out += np.bincount(self.doc[chosen[idx]], minlength=n)
-        return (out > 0).astype(np.int64)
+            hit |= chosen[idx]
+        return np.bincount(self.doc[hit], minlength=n)
 
     def rows(self) -> list[np.ndarray]:
         """Distinct features of each text."""
@@ -97,31 +101,31 @@ class Features:
         return np.stack(out, axis=1)
 
 
-def em(votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray, float]:
+def em(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray, float]:
     """(posterior of bad for each pattern, accuracies, share of bad) for patterns of votes seen counts times.
 
-    accuracies[k] = (P(vote bad | bad), P(vote good | good)) of labeller k, estimated with votes taken as independent
-    given the class; a labeller without votes keeps its first guess. Votes of none don't count.
+    For each labeller, EM estimates how often it votes bad, good or not at all on bad and on good documents, with
+    labellers taken as independent given the class; accuracies[k] is the chance that a vote of labeller k is right. What
+    a labeller does so seldom that counts say little follows the first guess.
     """
     n, k = votes.shape
-    acc, prior = np.tile([0.75, 0.9], (k, 1)), 0.15
-    post = np.full(n, prior)
-    if not counts.sum():
-        return post, acc, prior
-    bad, good = (votes == 1).astype(float), (votes == 0).astype(float)
-    for _ in range(rounds):
-        one = np.log(prior) + bad @ np.log(acc[:, 0]) + good @ np.log(1 - acc[:, 0])
-        zero = np.log(1 - prior) + bad @ np.log(1 - acc[:, 1]) + good @ np.log(acc[:, 1])
-        post = 1 / (1 + np.exp(np.clip(zero - one, -500, 500)))
-        p, q = post * counts, (1 - post) * counts
-        hit, miss, right, wrong = p @ bad, p @ good, q @ good, q @ bad
-        seen = (hit + miss + right + wrong) > 0
-        # a few votes' worth of the first guess keeps rare labellers sane
-        acc[:, 0] = np.where(seen, (hit + 1.5) / (hit + miss + 2), acc[:, 0])
-        acc[:, 1] = np.where(seen, (right + 1.8) / (right + wrong + 2), acc[:, 1])
-        acc = np.clip(acc, 1e-4, 1 - 1e-4)
-        prior = float(np.clip((p.sum() + 0.15) / (counts.sum() + 1), 1e-4, 0.5))
-    return post, acc, prior
+    #: chances of the votes none, good, bad on a good document and on a bad one
+    guess = np.array([[0.4, 0.55, 0.05], [0.4, 0.1, 0.5]])
+    theta = np.tile(guess, (k, 1, 1))
+    prior, post = 0.15, np.full(n, 0.15)
+    if counts.sum():
+        each = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
+        for _ in range(rounds):
+            like = np.einsum("nkv,kcv->nc", each, np.log(theta))
+            odds = np.log(prior / (1 - prior)) + like[:, 1] - like[:, 0]
+            post = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+            by = np.stack([(1 - post) * counts, post * counts], axis=1)
+            theta = np.einsum("nc,nkv->kcv", by, each) + 0.5 * guess
+            theta /= theta.sum(axis=2, keepdims=True)
+            prior = float(np.clip((by[:, 1].sum() + 0.15) / (counts.sum() + 1), 1e-4, 0.5))
+    right = (1 - prior) * theta[:, 0, 1] + prior * theta[:, 1, 2]
+    wrong = (1 - prior) * theta[:, 0, 2] + prior * theta[:, 1, 1]
+    return post, right / (right + wrong), prior
 
 
 def lexicon(rows: list[np.ndarray], bad: np.ndarray, precision: float = 0.9) -> np.ndarray:
@@ -135,8 +139,34 @@ def lexicon(rows: list[np.ndarray], bad: np.ndarray, precision: float = 0.9) ->
     base = bad.mean()
     p = np.clip(b / np.maximum(n, 1), 1e-9, 1 - 1e-9)
     gain = n * (p * np.log(p / base) + (1 - p) * np.log((1 - p) / (1 - base)))
-    out = (p >= precision) & (gain > np.log(size) + 3)
+    level = np.log(size) + 3
+    out = (p >= precision) & (gain > level)
     out[:DENSE] = False
+    # copies of one document speak once: as many supporters that differ as chance would need
+    need, marked = int(np.ceil(level / -np.log(base))), np.flatnonzero(own)
+    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])[marked]
+    marked = flat[marked]
+    few = out[marked]
+    doc, marked = doc[few], marked[few]
+    order = np.argsort(marked, kind="stable")
+    doc, marked = doc[order], marked[order]
+    alike: dict[tuple[int, int], bool] = {}
+
+    def copies(x: int, y: int) -> bool:
+        if (x, y) not in alike:
+            both = len(np.intersect1d(rows[x], rows[y], assume_unique=True))
+            alike[x, y] = both > 0.5 * (len(rows[x]) + len(rows[y]) - both)
+        return alike[x, y]
+
+    ends = np.flatnonzero(np.diff(np.append(marked, -1)))
+    for start, end in zip(np.concatenate([[0], ends[:-1] + 1]) if len(ends) else [], ends, strict=True):
+        kept: list[int] = []
+        for d in doc[start : end + 1].tolist():
+            if not any(copies(x, d) for x in kept):
+                kept.append(d)
+                if len(kept) >= need:
+                    break
+        out[marked[start]] = len(kept) >= need
     return out
 
 
@@ -220,17 +250,17 @@ def scored(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, reject:
             texts = [t or "" for t in b.column(1).to_pylist()]
             for i, j in C.steps(texts):
                 f = Features(texts[i:j])
-                v = np.concatenate([f.junk_votes(), f.hits(simple, slice(0, 1))[:, None], f.hits(learned, slice(0, 1))[:, None], f.hits(learned, slice(1, None))[:, None]], axis=1) + 1
-                code = (v @ (3 ** np.arange(v.shape[1]))).astype(np.int32)
+                v = np.concatenate([f.junk_votes(), f.toxic_votes(simple, learned)], axis=1) + 1
+                code = (v @ 3 ** np.arange(v.shape[1])).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(code)], ["doc_id", "code"])
 
     votes = docs.mapInArrow(vote, f"doc_id {key}, code int").join(known, "doc_id", "left")
     votes = C.cut(votes.select("doc_id", "code", F.coalesce("junk", F.lit(-1)).alias("junk"), F.coalesce("toxic", F.lit(-1)).alias("toxic")))
-    seen = votes.groupBy("code", "junk", "toxic").count().toPandas()  # at most 3**10 rows, whatever the corpus
-    spread = (seen["code"].to_numpy(np.int64)[:, None] // 3 ** np.arange(8)) % 3 - 1
+    seen = votes.groupBy("code", "junk", "toxic").count().toPandas()  # a row a pattern, at most 4,000, whatever the corpus
+    spread = (seen["code"].to_numpy(np.int64)[:, None] // 3 ** np.arange(10)) % 3 - 1
     n = seen["count"].to_numpy(float)
-    junk = np.concatenate([spread[:, :5], seen[["junk"]].to_numpy(np.int64)], axis=1)
-    toxic = np.concatenate([spread[:, 5:], seen[["toxic"]].to_numpy(np.int64)], axis=1)
+    junk = np.concatenate([spread[:, :6], seen[["junk"]].to_numpy(np.int64)], axis=1)
+    toxic = np.concatenate([spread[:, 6:], seen[["toxic"]].to_numpy(np.int64)], axis=1)
     post_j, acc_j, _ = em(junk, n)
     post_t, acc_t, _ = em(toxic, n)
     by = {(int(c), int(a), int(b)): (x, y) for c, a, b, x, y in zip(seen["code"], seen["junk"], seen["toxic"], post_j, post_t, strict=True)}
