@@ -57,4 +57,4 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_decontamination, op3_substring_dedup, op4_quality, op5_sharding, op6_url_filter, op7_near_dedup, op8_order_minhash, op9_token_blocks, op10_lm_score)
 }
-SQL: dict[str, str] = {"op3_substring_dedup": substring.SQL}
+SQL: dict[str, str] = {"op3_substring_dedup": substring.SQL, "op5_sharding": sharding.SQL}

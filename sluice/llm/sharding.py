@@ -124,3 +124,27 @@ def document_shards(docs: DataFrame, shards: int = SHARDS, span: int = SPAN) ->
     groups = C.small_ids(where)
     return keyed.join(groups, ["g_source", "g_block"]).select("doc_id", "source", "shard", "shard_bytes", F.lit(capacity).cast("long").alias("capacity"))
 
+
+
+#: ``document_shards`` in DuckDB's SQL: binary search with a greedy count a step, then a cut a step.
+SQL = f"""
+WITH RECURSIVE k AS (
+  SELECT coalesce(source, '') AS s, coalesce(floor(doc_id / {SPAN}.0)::BIGINT, {-(1 << 62)}) AS b, sum(coalesce(octet_length(encode(text)), 0))::BIGINT AS size FROM documents GROUP BY ALL),
+e AS (SELECT *, (sum(size) OVER (ORDER BY s, b))::BIGINT AS upto FROM k),
+l AS (SELECT list(size ORDER BY s, b) AS sizes, list(upto ORDER BY s, b) AS ends, max(size) AS most, sum(size)::BIGINT AS total FROM e),
+search AS (
+  SELECT greatest(most, ((total + {SHARDS - 1}) // {SHARDS})::BIGINT) AS lo, total AS hi FROM l
+  UNION ALL
+  SELECT CASE WHEN ok THEN lo ELSE mid + 1 END, CASE WHEN ok THEN mid ELSE hi END FROM (
+    SELECT lo, hi, mid, list_reduce(list_transform(sizes, lambda x: {{'n': 1::BIGINT, 'c': x}}), lambda a, x: CASE WHEN a.c + x.c > mid THEN {{'n': a.n + 1, 'c': x.c}} ELSE {{'n': a.n, 'c': a.c + x.c}} END).n <= {SHARDS} AS ok
+    FROM (SELECT lo, hi, (lo + hi) // 2 AS mid FROM search WHERE lo < hi), l)),
+cap AS (SELECT max(lo) AS capacity FROM search WHERE lo = hi),
+cuts AS (
+  SELECT list_max(list_filter(ends, lambda x: x <= capacity)) AS base FROM l, cap
+  UNION ALL
+  SELECT list_max(list_filter(ends, lambda x: x <= base + capacity)) FROM cuts, l, cap WHERE base < total),
+placed AS (SELECT s, b, size, (SELECT count(*) FROM cuts WHERE base < upto)::INT AS shard FROM e),
+full_ AS (SELECT *, (sum(size) OVER (PARTITION BY shard))::BIGINT AS shard_bytes FROM placed)
+SELECT d.doc_id, d.source, f.shard, f.shard_bytes, (SELECT capacity FROM cap)::BIGINT AS capacity
+FROM documents d JOIN full_ f ON f.s = coalesce(d.source, '') AND f.b = coalesce(floor(d.doc_id / {SPAN}.0)::BIGINT, {-(1 << 62)})
+"""
