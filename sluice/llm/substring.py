@@ -11,6 +11,8 @@ from . import common as C
 
 #: Fewest words of a line that counts; a shorter one ("All rights reserved.") is never cut out.
 MIN_WORDS = 8
+#: Most documents with repeats, and lines of theirs, that go to the texts by broadcast (about 60 bytes and 4 bytes each).
+BROADCAST_DOCS, BROADCAST_LINES = 1_000_000, 4_000_000
 
 
 def normalised(line: Column) -> Column:
@@ -35,6 +37,15 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return late.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("lines"))
 
 
+def near_texts(late: DataFrame) -> DataFrame:
+    """late(doc_id, lines), already cut, marked for broadcast up to the sizes above, so that texts stay where they are read.
+
+    Beyond them the join sorts both sides, at any smaller size too: Catalyst's own threshold would change the plan midway.
+    """
+    size = late.agg(F.count("*").alias("docs"), F.sum(F.size("lines")).alias("lines")).first()
+    return F.broadcast(late) if size.docs <= BROADCAST_DOCS and (size.lines or 0) <= BROADCAST_LINES else late.hint("merge")
+
+
 def cut_lines(texts: list[str | None], lines: list[list[int] | None]) -> tuple[list[str | None], list[list[tuple[int, int]]]]:
     """Texts without those lines, and the removed spans as [start, end) characters of the original, line ends with them."""
     out, spans = [], []
@@ -81,7 +92,7 @@ def cleaned(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             removed = pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], pa.list_(span))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), removed], ["doc_id", "text", "removed"])
 
-    both = docs.join(late.toDF("doc_id", "lines"), "doc_id", "left").select("doc_id", "text", "lines")
+    both = docs.join(near_texts(late), "doc_id", "left").select("doc_id", "text", "lines")
     return both.mapInArrow(run, f"doc_id {key}, text string, removed array<struct<start:int,end:int>>")
 
 
@@ -89,7 +100,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with each text cut as by :func:`cleaned`, n_chars made to fit where there is one, and documents left empty by it dropped."""
     import pyarrow as pa
 
-    late = C.cut(repeats(docs.where("doc_id is not null").select("doc_id", "text"), min_words)).toDF("__id", "__lines")
+    late = near_texts(C.cut(repeats(docs.where("doc_id is not null").select("doc_id", "text"), min_words))).toDF("__id", "__lines")
     names = docs.columns
     both = docs.join(late, F.col("doc_id") == F.col("__id"), "left")
 
