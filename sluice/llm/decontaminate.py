@@ -84,6 +84,8 @@ class Index:
 
     def search(self, text: str) -> list[tuple[object, int, int]]:
         """(item, distance, end in the normalised text) of every item within its budget: its best place, the first of equals."""
+        if not self.items:
+            return []
         places: dict[int, set[int]] = {}
         for end, (n, own) in self.auto.iter(text):
             for x, at in own:
