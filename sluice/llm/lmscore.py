@@ -14,7 +14,7 @@ from . import common as C
 WINDOW, OVERLAP, WIDTH = 48, 16, 16
 #: Classes of ids for the output (of about equal shares of the corpus), and rows of the input embedding.
 CLASSES, ROWS = 64, 8192
-#: Passes over the corpus, each of one window a document; windows in a step; step size.
+#: Passes over the corpus, each over every id once; windows in a step; step size.
 EPOCHS, BATCH, RATE = 2, 64, 0.1
 #: Bytes of parameters in a row that is averaged.
 CHUNK = 1 << 16
@@ -85,8 +85,24 @@ def class_logs(m: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray) -> t
     return z[np.arange(len(z)), target] - np.log(total), e / total[:, None]
 
 
+def _by_row(rows: np.ndarray, dx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows, ascending, and the sum of dx for each)."""
+    order = np.argsort(rows, kind="stable")
+    sort = rows[order]
+    at = np.flatnonzero(np.concatenate([[True], sort[1:] != sort[:-1]]))
+    return sort[at], np.add.reduceat(dx[order], at, axis=0)
+
+
 def gradient(m: dict[str, np.ndarray], rows: np.ndarray, target: np.ndarray, real: np.ndarray) -> tuple[float, np.ndarray]:
     """(mean negative log chance of the real target classes, its gradient as one flat array)."""
+    loss, dx, rest = _parts(m, rows, target, real)
+    emb = np.zeros(SHAPES["emb"], np.float32)
+    np.add.at(emb, rows.ravel(), dx.reshape(-1, WIDTH))
+    return loss, np.concatenate([emb.ravel(), rest])
+
+
+def _parts(m: dict[str, np.ndarray], rows: np.ndarray, target: np.ndarray, real: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """(mean negative log chance of the real target classes; its gradient for the rows at each place, and for all parameters behind the rows)."""
     h, x, q, k, v, a, mid = attend(m, rows)
     n = max(1, int(real.sum()))
     hf = h.reshape(-1, WIDTH)
@@ -109,9 +125,7 @@ def gradient(m: dict[str, np.ndarray], rows: np.ndarray, target: np.ndarray, rea
         g[name] = xf.T @ df
         dx += df @ m[name].T
     g["pos"] = dx.reshape(x.shape).sum(axis=0)
-    g["emb"] = np.zeros(SHAPES["emb"], np.float32)
-    np.add.at(g["emb"], rows.ravel(), dx)
-    return float(-(logs * w).sum()), np.concatenate([g[k].ravel() for k in SHAPES])
+    return float(-(logs * w).sum()), dx.reshape(x.shape), np.concatenate([g[k].ravel() for k in SHAPES if k != "emb"])
 
 
 def windows(lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,39 +170,38 @@ def scores(m: dict[str, np.ndarray], ids: list[np.ndarray], voc: Vocabulary, bat
     return out
 
 
+def training(lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, first place) of the windows, one behind another, that hold each id of texts with these numbers of ids once."""
+    n = -(-lens // WINDOW)
+    text = np.repeat(np.arange(len(lens)), n)
+    return text, (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * WINDOW
+
+
 def train_pass(flat: np.ndarray, texts: Iterator[list[np.ndarray]], voc: Vocabulary, epoch: int) -> tuple[np.ndarray, int]:
-    """(parameters after Adagrad over one window of each text, windows seen); the window moves on with the epoch."""
+    """(parameters after Adagrad over every window of each text, ids trained on); windows are mixed within a step of texts."""
     flat = flat.copy()
     m, sq = unpack(flat), np.full(len(flat), 1e-3, np.float32)
-    seen, held = 0, []
-
-    def step() -> None:
-        rows, target, real = (np.stack(x) for x in zip(*held, strict=True))
-        _, g = gradient(m, rows, target, real)
-        np.square(g, out=own)
-        np.add(sq, own, out=sq)
-        flat[:] -= RATE * g / np.sqrt(sq)
-
-    own = np.empty_like(sq)
-    for ids in texts:
-        for x in ids:
-            if not len(x):
-                continue
-            n = max(1, -(-(len(x) - WINDOW) // WINDOW) + 1)
-            start = WINDOW * ((len(x) * 7 + int(x[0]) + epoch * 5) % n)
-            part = x[start : start + WINDOW].astype(np.int64)
-            rows, target, real = np.zeros(WINDOW, np.int64), np.zeros(WINDOW, np.int64), np.zeros(WINDOW, bool)
-            rows[1 : len(part)] = voc.row[part[:-1]]
-            if start:
-                rows[0] = voc.row[int(x[start - 1])]
-            target[: len(part)], real[: len(part)] = voc.cls[part], True
-            held.append((rows, target, real))
-            seen += 1
-            if len(held) == BATCH:
-                step()
-                held.clear()
-    if held:
-        step()
+    seen, rng = 0, np.random.default_rng(epoch)
+    emb, rest = ROWS * WIDTH, slice(ROWS * WIDTH, None)
+    sums = sq[:emb].reshape(ROWS, WIDTH)
+    for own in texts:
+        for i, j in C.steps(own, 1 << 18):
+            lens = np.array([len(x) for x in own[i:j]], np.int64)
+            rows, target, at = _inputs(own[i:j], voc)
+            text, first = training(lens)
+            mixed = rng.permutation(len(text))
+            for k in range(0, len(mixed), BATCH):
+                t, f = text[mixed[k : k + BATCH]], first[mixed[k : k + BATCH]]
+                place = f[:, None] + np.arange(WINDOW)
+                take, real = at[t][:, None] + place, place < lens[t][:, None]
+                _, dx, g = _parts(m, seen_rows := np.where(real, rows[take], 0), np.where(real, voc.cls[target[take]], 0), real)
+                # rows that no window holds have no gradient, and Adagrad leaves them as they are
+                held, part = _by_row(seen_rows[real], dx[real])
+                sums[held] += np.square(part)
+                m["emb"][held] -= RATE * part / np.sqrt(sums[held])
+                sq[rest] += np.square(g)
+                flat[rest] -= RATE * g / np.sqrt(sq[rest])
+                seen += int(real.sum())
     return flat, seen
 
 
@@ -199,8 +212,8 @@ def _ids(column, dtype) -> list[np.ndarray]:
 def scored(docs: DataFrame, vocab: str = C.VOCAB, epochs: int = EPOCHS) -> DataFrame:
     """doc_id, n_tokens, logprob (sum of natural logs) and perplexity of every row of docs(doc_id, text).
 
-    The ids of all texts are counted; the counts set classes of ids for the output. Each epoch trains on one window of
-    every document: each partition goes on from the shared parameters and the results are averaged by windows seen. Then
+    The ids of all texts are counted; the counts set classes of ids for the output. Each epoch trains on every id
+    once: each partition goes on from the shared parameters and the results are averaged by ids trained on. Then
     windows of WINDOW ids, which share OVERLAP ids with the one before, score each id once, given the ids before it in
     its window: chance of its class by the model times its share of the class. Null and empty texts have n_tokens 0,
     logprob 0 and a null perplexity; a null doc_id stays null; repeated rows are trained on and scored each; an empty

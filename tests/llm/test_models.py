@@ -177,6 +177,23 @@ def test_training_beats_counts(spark):
     assert L.scored(docs.limit(0)).count() == 0
 
 
+def test_training_sees_every_id_once(monkeypatch):
+    rng = np.random.default_rng(6)
+    voc, batches, whole = L.Vocabulary(rng.integers(1, 50, 300).astype(float)), [], L._parts
+    ids = [rng.integers(0, 300, n).astype(np.uint16) for n in (0, 1, 47, 48, 49, 240, 240, 5000)]
+
+    def watch(m, rows, target, real):
+        batches.append(np.bincount(target[real], minlength=L.CLASSES))
+        return whole(m, rows, target, real)
+
+    monkeypatch.setattr(L, "_parts", watch)
+    for epoch in range(2):
+        batches.clear()
+        flat, n = L.train_pass(L.initial(voc.bias), iter([ids[:5], ids[5:]]), voc, epoch)
+        assert n == sum(map(len, ids)) and np.isfinite(flat).all()
+        assert (sum(batches) == np.bincount(voc.cls[np.concatenate(ids)], minlength=L.CLASSES)).all()
+
+
 @pytest.mark.parametrize("stage", range(5))
 def test_pipeline_stage_contract(spark, stage, tmp_path):
     import corpus_pipeline as P
