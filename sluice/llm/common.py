@@ -51,6 +51,22 @@ def kind(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """df with its columns named c0, c1 and so on, whatever their names are."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
+def columns(df: DataFrame, *names: str) -> DataFrame:
+    """These columns of df, told from others by their exact names."""
+    p = plain(df)
+    return p.select(*(F.col(f"c{df.columns.index(n)}").alias(n) for n in names))
+
+
+def without(df: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """df without the rows whose ``key`` is in gone (one column, already cut); all columns as they were."""
+    return plain(df).join(small_ids(gone.toDF("gone")), F.col(f"c{df.columns.index(key)}") == F.col("gone"), "left_anti").toDF(*df.columns)
+
+
 def steps(texts: list[str], limit: int = STEP_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``limit`` characters, at least one text each."""
     i = total = 0

@@ -9,59 +9,141 @@ from sluice.llm import decontaminate as D
 from sluice.llm import substring as S
 
 
-def brute_clean(rows, least=S.MIN_WORDS):
+def clauses(text):
+    """(start, end, words, weight, line) of each clause of a text."""
+    n = text.translate(str.maketrans(S.FROM, S.TO)).lower()
+    assert len(n) == len(text)
+    ends, run = [], r"[.,;:!?\n\x1f \t\r\x0b\x0c]+"
+    for m in re.finditer(run, n):
+        marks, blanks = set(m[0]) & set(".,;:!?\n\x1f"), set(m[0]) & set(" \t\n\r\x0b\x0c\x1f")
+        if marks and blanks:
+            ends.append(m.end())
+    at = [0, *(e for e in ends if e < len(text)), len(text)] if text else [0]
+    out = []
+    for a, b in zip(at, at[1:]):
+        words = re.findall(r"[a-z0-9\x80-\U0010ffff]+", n[a:b])
+        out.append((a, b, words, len(words) + sum(c >= "\u0800" for c in n[a:b]) // 2, n[:a].count("\n")))
+    return out
+
+
+def brute_clean(rows):
     """First occurrences in the order of doc_id and place, by one set."""
     seen, out = {}, {}
-    unit = lambda line: re.sub(r"[^\w]+|_", " ", line.lower()).strip()
     for d, t in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: r[0]):
-        gone, spans, at, kept = [], [], 0, []
-        for i, line in enumerate(t.split("\n")):
-            end = min(at + len(line) + 1, len(t))
-            u = re.sub(" +", " ", unit(line))
-            if len(u.split(" ")) >= least and seen.setdefault(u, (d, i)) != (d, i):
-                gone.append(i)
-                spans = [*spans[:-1], (spans[-1][0], end)] if spans and spans[-1][1] == at else [*spans, (at, end)]
-            else:
-                kept.append(line)
-            at = end
-        out[d] = ("\n".join(kept), spans)
+        c, units = clauses(t), []
+        for i, x in enumerate(c):
+            j = next((j for j in range(i, min(len(c), i + 500)) if sum(y[3] for y in c[i : j + 1]) >= S.RUN_WORDS), None)
+            if x[3] and j is not None:
+                units.append((i, 0, j))
+        lines = {}
+        for i, x in enumerate(c):
+            lines.setdefault(x[4], []).append(i)
+        for own in lines.values():
+            if sum(c[i][3] for i in own) >= S.MIN_WORDS:
+                units.append((own[0], 1, own[-1]))
+        gone = set()
+        for i, kind, j in sorted(units):
+            if seen.setdefault((kind, tuple(w for x in c[i : j + 1] for w in x[2])), (d, i)) != (d, i):
+                gone |= {*range(i, j + 1)}
+        spans = []
+        for i in sorted(gone):
+            spans = [*spans[:-1], (spans[-1][0], c[i][1])] if spans and spans[-1][1] == c[i][0] else [*spans, c[i][:2]]
+        out[d] = ("".join(t[x[0] : x[1]] for i, x in enumerate(c) if i not in gone), spans)
     return out
 
 
-def test_cleaned_equals_brute(spark):
+def made_rows():
     rng = random.Random(6)
-    pool = [" ".join(rng.choices(["alpha", "Béta", "x,", "ß-", "1", "漢"], k=rng.randint(1, 14))) for _ in range(25)]
-    rows = [(i, "\n".join(rng.choices([*pool, ""], k=rng.randint(0, 9)))) for i in range(60)]
-    rows += [(100, None), (101, ""), (102, pool[0] + "\n" + "\n".join(f"{i} line of a very long text with words enough" for i in range(20_000))), (None, pool[1]), (None, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as removed", "3 as pos", "4 as lines")
+    word = lambda: rng.choice(["alpha", "B\u00e9ta", "x", "\u00df-", "1", "\u6f22\u5b57", "don\u2019t", "\u2026", "3.14", "\u0130\u03a3"])
+    clause = lambda: " ".join(word() for _ in range(rng.randint(1, 9))) + rng.choice([". ", ", ", ".", "\u3002", "!\n", "\n", " ;", "; "])
+    pool = ["".join(clause() for _ in range(rng.randint(1, 9))) for _ in range(25)]
+    rows = [(i, "".join(rng.choices([*pool, "", "\n\n", " . ", clause()], k=rng.randint(0, 7)))) for i in range(80)]
+    rows += [(200, None), (201, ""), (202, pool[0] + "\n" + "\n".join(f"{i} line of a very long text with words enough" for i in range(2_000)))]
+    return [*rows, (203, "th. " * 90), (204, " .\n"), (205, "\u6f22" * 90 + "\u3002"), (206, "\u6f22" * 90 + "\u3002"), (None, pool[1]), (None, None)]
+
+
+def test_cleaned_equals_brute(spark):
+    rows = made_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as removed", "3 as pos", "4 as codes", "5 as `a.b`", "6 as c0")
     want = brute_clean(rows)
-    for docs_, broadcast in ((docs, S.BROADCAST_DOCS), (docs, -1)):
+    assert sum(bool(x[1]) for x in want.values()) > 30
+    for broadcast in (S.BROADCAST_DOCS, -1):
         S.BROADCAST_DOCS, old = broadcast, S.BROADCAST_DOCS
         try:
-            got = S.cleaned(docs_).collect()
+            got, stage = S.cleaned(docs).collect(), S.without_repeats(docs)
+            assert stage.columns == docs.columns
+            stage = sorted(((r[0], r[1]) for r in stage.collect()), key=str)
         finally:
             S.BROADCAST_DOCS = old
         assert len(got) == len(rows)
         for r in got:
-            if r.doc_id is None or r.doc_id == 100:
-                assert not r.removed and r.text in (None, pool[1])
+            if r.doc_id is None or r.doc_id == 200:
+                assert not r.removed and (r.doc_id, r.text) in rows
             else:
                 assert (r.text, [(s.start, s.end) for s in r.removed]) == want[r.doc_id]
-    assert S.cleaned(docs.limit(0)).count() == 0
+        assert stage == sorted(((r.doc_id, r.text) for r in got if not r.removed or r.text.strip()), key=str)
+    assert S.cleaned(docs.limit(0)).count() == S.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_sql_equals_brute():
+    duckdb = pytest.importorskip("duckdb")
+    import pandas as pd
+
+    rows = [r for r in made_rows() if r[0] is not None]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    got = {d: (t, r) for d, t, r in con.sql(S.SQL).fetchall()}
+    want = {d: (t, ",".join(f"{a}-{b}" for a, b in s)) for d, (t, s) in brute_clean(rows).items()}
+    assert got == want | {200: (None, "")}
+
+
+def test_translation_and_lower_case_keep_the_places():
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000).translate(S._TABLE)
+    assert len(every.lower()) == len(every)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a b c d e. ", "f g, ", "h\n", "i j k l m n o p. ", "q r s t u v w; "]), max_size=14).map("".join), max_size=6))
+def test_what_goes_stays_somewhere(texts):
+    out = brute_clean(list(enumerate(texts)))
+    u, first, late = S.Units(texts), {}, [[] for _ in texts]
+    for t, code, d1, again in zip(u.text.tolist(), u.codes().tolist(), u.d1.tolist(), u.again.tolist()):
+        if first.setdefault(d1, t) != t or again:
+            late[t].append(code)
+    left, _ = S.cut(texts, late)
+    assert left == [out[i][0] for i in range(len(texts))]
+    kept = {tuple(c[2]) for t in left for c in clauses(t)}
+    assert all(tuple(c[2]) in kept for t in texts for c in clauses(t))
+
+
+def test_a_passage_inside_lines_goes(spark):
+    rng = random.Random(1)
+    say = lambda n: " ".join("".join(rng.choices("abcdefghij", k=5)) + (", " if i % 7 == 6 else ". " if i % 11 == 10 else "") for i in range(n))
+    passage = say(70)
+    rows = [(i, f"{say(40)} {passage} {say(40)}") for i in range(4)]
+    got = {r.doc_id: r.text for r in S.cleaned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == rows[0][1]
+    words = passage.split()
+    for i in (1, 2, 3):
+        left = got[i].split()
+        assert sum(w in left for w in words) < 20 and sum(w in left for w in rows[i][1].split() if w not in words) == 80
 
 
 def test_spans_are_of_the_original():
-    t = "a\nbb\nccc\ndd"
-    out, spans = S.cut_lines([t, None, t], [[1, 2], [0], None])
-    assert out == ["a\ndd", None, t] and spans[0] == [(2, 9)] and t[2:9] == "bb\nccc\n"
+    t = "a b c d e f g h\nbb\nA b c d e f, g h\ndd"
+    u = S.Units([t])
+    out, spans = S.cut([t, None, t], [u.codes()[u.again].tolist(), [0], None])
+    assert out == ["a b c d e f g h\nbb\ndd", None, t] and spans[0] == [(19, 36)] and t[19:36] == "A b c d e f, g h\n"
 
 
 def test_repeated_ids_and_ties(spark):
     line = "one two three four five six seven eight nine"
-    rows = [(1, line), (1, line), (2, line + "!"), (3, line + "\n" + line.upper() + "\nshort one"), (4, "keep me")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' as lang", "length(text) as n_chars")
-    got = sorted((r.doc_id, r.text, r.n_chars) for r in S.without_repeats(docs).collect())
-    assert got == [(1, line, len(line)), (1, line, len(line)), (3, "short one", 9), (4, "keep me", 7)]
+    rows = [(1, line), (1, line), (2, line + "!"), (3, line + "\n" + line.upper() + "\nshort one"), (4, "keep me"), (5, None), (None, line), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' as lang", "length(text) as n_chars", "1 as __id", "2 as __lines", "3 as gone", "4 as `x.y`", "5 as id")
+    out = S.without_repeats(docs)
+    assert out.columns == docs.columns and out.schema.simpleString() == docs.schema.simpleString()
+    got = sorted(((r[0], r[1], r[3]) for r in out.collect()), key=str)
+    assert got == sorted([(1, line, len(line)), (1, line, len(line)), (3, "short one", 9), (4, "keep me", 7), (5, None, None), (None, line, len(line)), (6, "", 0)], key=str)
 
 
 def levenshtein_within(item, text):
