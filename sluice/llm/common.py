@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 VOCAB = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Largest id set, in rows, that is broadcast (about 16 bytes a row); beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
+#: Rows of one key from which a join takes care of it by itself.
+HOT = 100_000
 #: Characters of text that one vectorised step takes at once.
 STEP_CHARS = 1 << 20
 
@@ -47,6 +49,19 @@ def small_ids(ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
 
 
+def by_key(rows: DataFrame, heads: DataFrame, key: str) -> DataFrame:
+    """rows joined with heads(key, n and more; already cut), which has one row a key, n the number of rows with it.
+
+    A key of more than HOT rows meets them where they are, by broadcast (there are rows/HOT such keys at most, and their
+    number is checked), so no task gets all rows of a key; the others are shuffled. n is left out.
+    """
+    hot = cut(heads.where(F.col("n") > HOT))
+    if hot.isEmpty():
+        return rows.join(heads.drop("n"), key)
+    rest = rows.join(small_ids(hot.select(key)), key, "left_anti").join(heads.where(F.col("n") <= HOT).drop("n"), key)
+    return rows.join(small_ids(hot).drop("n"), key).unionByName(rest)
+
+
 def kind(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 

@@ -52,33 +52,41 @@ def packed(examples: DataFrame, key: str, limits: tuple[int, int, int] = LIMITS,
     """A row a pack: pack_id, ids (list of ``key``, in packing order), tokens, segments, loss_tokens and oversize.
 
     examples(key, tokens, segments, loss_tokens) are spread by the hash of their id over cells of about ``cell``, and
-    each cell is packed by :func:`pack`, largest token count first. Null sizes count as 0, and negative ones too; an
-    example over a limit alone is a pack of its own with oversize true. Null ids are packed as others are, repeated rows
-    each take their room, no examples give no packs, and other columns are ignored.
+    each cell is packed by :func:`pack`, largest token count first; rows of an id that occurs more than ``cell`` times
+    are spread over all cells. Null sizes count as 0, and negative ones too; an example over a limit alone is a pack of
+    its own with oversize true. Null ids are packed as others are, ids of any type come out as they went in, repeated
+    rows each take their room, no examples give no packs, and other columns are ignored.
     """
-    import pandas as pd
-
-    kind = C.kind(examples, key)
-    narrow = C.cut(
-        examples.select(
-            F.col(key).alias("id"),
-            *(F.greatest(F.coalesce(F.col(c).cast("long"), F.lit(0)), F.lit(0)).alias(c) for c in ("tokens", "segments", "loss_tokens")),
-        )
-    )
-    cells = max(1, math.ceil(narrow.count() / cell))
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["tokens", "loss_tokens", "segments", "id"], ascending=[False, False, False, True], kind="stable").reset_index(drop=True)
-        part["bin"] = pack(part[["tokens", "segments", "loss_tokens"]].to_numpy(np.int64), limits)
-        each = part.groupby("bin", sort=True)
-        out = each[["tokens", "segments", "loss_tokens"]].sum().reset_index()
-        out["ids"] = each["id"].apply(lambda s: [None if pd.isna(x) else x for x in s]).to_numpy()
-        out["pack_id"] = [f"{part['cell'].iloc[0]:08d}-{b:06d}" for b in out["bin"]]
-        out["oversize"] = (out[["tokens", "segments", "loss_tokens"]] > np.array(limits)).any(axis=1)
-        return out[["pack_id", "ids", "tokens", "segments", "loss_tokens", "oversize"]]
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-    placed = narrow.withColumn("cell", F.pmod(F.xxhash64("id"), F.lit(cells)))
-    return placed.groupBy("cell").applyInPandas(run, f"pack_id string, ids array<{kind}>, tokens long, segments long, loss_tokens long, oversize boolean")
+    kind, names = C.kind(examples, key), ("tokens", "segments", "loss_tokens")
+    narrow = C.columns(examples, key, *names).toDF("id", *names)
+    narrow = C.cut(narrow.select("id", *(F.greatest(F.coalesce(F.col(c).cast("long"), F.lit(0)), F.lit(0)).alias(c) for c in names)))
+    cells = max(1, math.ceil(narrow.count() / cell))
+    hot = C.cut(narrow.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > cell).select(F.col("id").alias("hot"), F.lit(True).alias("many")))
+
+    def run(part):  # without hints, which applyInArrow would look up
+        sizes = np.stack([part[c].to_numpy() for c in names], axis=1).astype(np.int64)
+        ids = part["id"].combine_chunks()
+        # ids aren't compared by value where that has no order; equal sizes keep the order of ids where it has
+        by_id = np.empty(len(ids), np.int64)
+        by_id[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+        order = np.lexsort((by_id, -sizes[:, 1], -sizes[:, 2], -sizes[:, 0]))
+        bins = pack(sizes[order], limits)
+        by_bin = np.argsort(bins, kind="stable")
+        first = np.flatnonzero(np.diff(np.concatenate([[-1], bins[by_bin]])))
+        total = np.add.reduceat(sizes[order][by_bin], first, axis=0)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(bins)).astype(np.int32)), ids.take(pa.array(order[by_bin])))
+        here = int(part["cell"][0].as_py())
+        return pa.table({
+            "pack_id": [f"{here:08d}-{b:06d}" for b in range(len(first))], "ids": lists, "tokens": total[:, 0], "segments": total[:, 1], "loss_tokens": total[:, 2],
+            "oversize": (total > np.array(limits)).any(axis=1),
+        })
+
+    spread = narrow.join(C.small_ids(hot), F.col("id").eqNullSafe(F.col("hot")), "left")
+    placed = spread.select("id", *names, F.pmod(F.when(F.col("many"), F.floor(F.rand(7) * (1 << 40))).otherwise(F.xxhash64("id")), F.lit(cells)).alias("cell"))
+    return placed.groupBy("cell").applyInArrow(run, f"pack_id string, ids array<{kind}>, tokens long, segments long, loss_tokens long, oversize boolean")
 
 
 def _counted(docs: DataFrame, columns: list[str], vocab: str) -> DataFrame:
@@ -92,7 +100,7 @@ def _counted(docs: DataFrame, columns: list[str], vocab: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(columns))), pa.array(n, pa.int64())], [*columns, "tokens"])
 
     fields = ", ".join(f"`{c}` {C.kind(docs, c)}" for c in columns)
-    return docs.select(*columns, F.col("text").cast("string").alias("text")).mapInArrow(run, f"{fields}, tokens long")
+    return C.columns(docs, *columns, "text").withColumn("text", F.col("text").cast("string")).mapInArrow(run, f"{fields}, tokens long")
 
 
 def conversation_packs(turns: DataFrame, limits: tuple[int, int, int] = LIMITS, vocab: str = C.VOCAB, cell: int = CELL) -> DataFrame:

@@ -112,10 +112,13 @@ def document_shards(docs: DataFrame, shards: int = SHARDS, span: int = SPAN) ->
     """doc_id, source, shard, shard_bytes and capacity of every row of docs(doc_id, source, text).
 
     The atomic groups, in order, are the documents of a source with doc_id in the same ``span`` of ids; a size is the
-    bytes of the texts. Null texts have none; a null source is "" and a null doc_id is of the group before all ids; rows
-    that repeat are each counted. No documents: no rows. Other columns are ignored.
+    bytes of the texts. Null texts have none; a null source is "" and a null doc_id, or a string that isn't a whole
+    number, is of the group before all ids; rows that repeat are each counted. No documents: no rows. Other columns are
+    ignored.
     """
-    keyed = docs.select("doc_id", "source", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("g_source"), F.coalesce(F.floor(F.col("doc_id") / span), F.lit(-(1 << 62))).alias("g_block"), F.octet_length(F.col("text").cast("string")).alias("bytes"))
+    docs = C.columns(docs, "doc_id", "source", "text")
+    number = F.col("doc_id").try_cast("long") if C.kind(docs, "doc_id") == "string" else F.col("doc_id")
+    keyed = docs.select("doc_id", "source", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("g_source"), F.coalesce(F.floor(number / span), F.lit(-(1 << 62))).alias("g_block"), F.octet_length(F.col("text").cast("string")).alias("bytes"))
     sizes = keyed.groupBy("g_source", "g_block").agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("size"))
     cut, capacity = partition(sizes, ["g_source", "g_block"], shards)
     cut = C.cut(cut)

@@ -60,6 +60,28 @@ def test_document_packs(spark):
     assert [r.ids for r in out if r.oversize] == [[4]]
 
 
+def test_packed_keeps_ids_of_any_type(spark):
+    import decimal
+
+    big = [2**53 + 1, 2**53 + 3, 2**63 - 1, None, -5]
+    rows = [(i, n, s, x) for i in big for n, s, x in ((3, 1, 1), (None, None, -4))]
+    for kind, cast in (("long", int), ("string", str), ("decimal(20,0)", decimal.Decimal)):
+        df = spark.createDataFrame([(None if i is None else cast(i), *x) for i, *x in rows], f"id {kind}, tokens int, segments int, loss_tokens int").selectExpr("*", "1 as cell", "2 as hot", "3 as `a.b`")
+        out = packing.packed(df, "id", (10, 4, 10)).collect()
+        assert sorted((x for r in out for x in r.ids), key=str) == sorted((None if i is None else cast(i) for i, *_ in rows), key=str)
+        assert sum(r.tokens for r in out) == 15 and sum(r.loss_tokens for r in out) == 5 and max(r.tokens for r in out) <= 10
+
+
+def test_packed_spreads_a_hot_id(spark):
+    df = spark.range(900).selectExpr("if(id < 600, 7, id) as id", "1 as tokens", "1 as segments", "1 as loss_tokens")
+    out = packing.packed(df, "id", (10, 10, 10), cell=50).collect()
+    assert sorted(x for r in out for x in r.ids) == sorted([7] * 600 + [*range(600, 900)])
+    cells = {r.pack_id[:8]: 0 for r in out}
+    for r in out:
+        cells[r.pack_id[:8]] += len(r.ids)
+    assert len(cells) == 18 and max(cells.values()) < 120 and len(out) < 90 + 18
+
+
 def brute_capacity(sizes, shards):
     """Least largest sum over all ways to cut, by dynamic programming."""
     n, inf = len(sizes), float("inf")
@@ -93,3 +115,5 @@ def test_document_shards(spark):
         groups.setdefault((r.source, None if r.doc_id is None else r.doc_id // 64), set()).add(r.shard)
     assert all(len(s) == 1 for s in groups.values()) and max(r.shard_bytes for r in out) == out[0].capacity
     assert sharding.document_shards(docs.limit(0)).count() == 0
+    named = docs.selectExpr("concat('d', doc_id) as doc_id", "source", "text", "1 as `a.b`", "2 as g_source")
+    assert sharding.document_shards(named, 4, 64).count() == len(rows)
