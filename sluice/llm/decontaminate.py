@@ -12,8 +12,10 @@ from . import common as C
 
 #: Edits allowed for each character of an item (rounded down).
 ERROR_RATE = 0.05
-#: Characters of normalised items that one scan takes (its automaton is about a hundred times that); more items, more scans.
+#: Characters of normalised items in one automaton (which takes about a hundred times that); more items, more automata.
 SCAN_CHARS = 2_000_000
+#: Characters of items that a pass over the documents takes, and of texts that a task holds to try several automata on.
+PASS_CHARS, HELD_CHARS = 32_000_000, 16_000_000
 _WORD = re.compile(r"\w+")
 
 
@@ -121,46 +123,74 @@ def matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) ->
     ``rate`` edits a character of the item, rounded down; every part of a text that lies within it holds one of the
     budget-plus-one pieces unchanged, so none is missed. distance is the least over the text; end_char is where the
     first such part ends in the normalised text. Null, empty and wordless texts and items match nothing. Repeated rows
-    give repeated matches; null ids stay null; other columns are ignored. Items are read on the driver in slices of
-    SCAN_CHARS characters, each with one scan of the documents, so the automaton's size doesn't grow with the benchmark.
+    of docs give repeated matches, and equal rows of benchmark count once; null ids stay null, ids may be of any type;
+    an empty table on either side gives no rows; other columns are ignored. Items are read on the driver in slices of
+    SCAN_CHARS characters, one automaton each; a scan of the documents takes the slices of PASS_CHARS characters, so
+    neither an automaton nor what is broadcast grows with the benchmark.
     """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+
     spark = docs.sparkSession
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    key, item_key = C.kind(docs, "doc_id"), C.kind(benchmark, "item_id")
-    out, own, size = None, [], 0
+    docs = C.columns(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string"))
+    items = C.columns(benchmark, "item_id", "text").withColumn("text", F.col("text").cast("string"))
+    key, item_key = C.kind(docs, "doc_id"), C.kind(items, "item_id")
+    id_type = to_arrow_type(items.schema["item_id"].dataType)
+
+    def scan(slices: list[list]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(slices)
+
+        def found(index: Index, ids: list, texts: list[str]) -> pa.RecordBatch:
+            at, hits = [], []
+            for i, t in enumerate(texts):
+                for hit in index.search(t):
+                    at.append(i)
+                    hits.append(hit)
+            cols = [pa.concat_arrays(ids).take(pa.array(at, pa.int64())), pa.array([x[0] for x in hits], id_type), pa.array([x[1] for x in hits], pa.int32()), pa.array([x[2] for x in hits], pa.int64())]
+            return pa.RecordBatch.from_arrays(cols, ["doc_id", "item_id", "distance", "end_char"])
 
-    def scan(items: list) -> DataFrame:
-        import pyarrow as pa
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            one = Index(shared.value[0], rate) if len(shared.value) == 1 else None
+            ids, texts, size = [], [], 0
 
-        shared = spark.sparkContext.broadcast(items)
-        id_type = pa.from_numpy_dtype({"int": "int32", "smallint": "int16"}.get(item_key, "int64")) if item_key != "string" else pa.string()
+            def all_slices() -> Iterator[pa.RecordBatch]:
+                for own in shared.value:
+                    yield found(one or Index(own, rate), ids, texts)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value, rate)
             for b in batches:
-                at, found = [], []
-                for i, t in enumerate(b.column(1).to_pylist()):
-                    for hit in index.search(normalise(t)) if t else ():
-                        at.append(i)
-                        found.append(hit)
-                cols = [b.column(0).take(pa.array(at, pa.int64())), pa.array([x[0] for x in found], id_type), pa.array([x[1] for x in found], pa.int32()), pa.array([x[2] for x in found], pa.int64())]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "item_id", "distance", "end_char"])
+                ids.append(b.column(0))
+                new = [normalise(t) for t in b.column(1).to_pylist()]
+                texts += new
+                size += sum(map(len, new))
+                if one or size >= HELD_CHARS:
+                    yield from all_slices()
+                    ids, texts, size = [], [], 0
+            if ids:
+                yield from all_slices()
 
         return docs.mapInArrow(run, f"doc_id {key}, item_id {item_key}, distance int, end_char long")
 
-    for r in benchmark.select("item_id", F.col("text").cast("string").alias("text")).distinct().orderBy("item_id", "text").toLocalIterator():
+    out, slices, own, size, total = None, [], [], 0, 0
+    for r in items.distinct().orderBy("item_id", "text").toLocalIterator():
         if t := normalise(r.text):
             own.append((r.item_id, t))
-            size += len(t)
+            size, total = size + len(t), total + len(t)
             if size >= SCAN_CHARS:
-                out = scan(own) if out is None else out.union(scan(own))
+                slices.append(own)
                 own, size = [], 0
-    if own or out is None:
-        out = scan(own) if out is None else out.union(scan(own))
-    return out
+            if total >= PASS_CHARS:
+                slices += [own] if own else []
+                out = scan(slices) if out is None else out.union(scan(slices))
+                slices, own, size, total = [], [], 0, 0
+    slices += [own] if own or not slices else []
+    return scan(slices) if out is None else out.union(scan(slices))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """docs without the documents that hold a benchmark item; columns and other rows (null doc_id too) as they were."""
+    """docs without the documents that hold a benchmark item.
+
+    Null and empty texts stay, as do rows of a null doc_id; of a repeated doc_id all rows go if one holds an item; empty
+    tables change nothing; all columns stay, whatever their names.
+    """
     hit = C.cut(matches(docs, benchmark, rate).select("doc_id").where("doc_id is not null").distinct())
-    return docs.join(C.small_ids(hit), "doc_id", "left_anti").select(docs.columns)
+    return C.without(docs, "doc_id", hit)
