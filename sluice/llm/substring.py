@@ -12,8 +12,8 @@ from . import common as C
 
 #: Least weight of a line that counts and of a run of clauses; a shorter one ("All rights reserved.") is never cut out alone.
 MIN_WORDS, RUN_WORDS = 8, 20
-#: Most documents with repeats, and places in them, that go to the texts by broadcast (about 60 bytes and 8 bytes each).
-BROADCAST_DOCS, BROADCAST_UNITS = 1_000_000, 8_000_000
+#: Code of a text that repeats a unit of its own.
+AGAIN = -1
 #: Full stops and commas of scripts without spaces end a clause by themselves; other typographic marks and spaces count as a space.
 _STOPS = "\u3002\uff01\uff1f\uff1b\uff1a\uff0c\u3001\uff0e\uff61\uff64"
 _BLANKS = "\x1c\x1d\x1e\x1f\x85\xa0\xa1\xab\xb7\xbb\xbf" + "".join(map(chr, [*range(0x2000, 0x2030), 0x2039, 0x203A, 0x205F, 0x3000, 0xFEFF]))
@@ -83,8 +83,8 @@ class Units:
         self.d1, self.d2, self.text = d1[order].view(np.int64), d2[order].view(np.int64), of[self.first]
 
     def codes(self) -> np.ndarray:
-        """Place and low half of the digest of each unit."""
-        return self.pos << 32 | self.d1 & 0xFFFFFFFF
+        """Place and half of the second digest of each unit."""
+        return self.pos << 32 | self.d2 & 0xFFFFFFFF
 
 
 def cut(texts: list[str | None], late: list[list[int] | None], least: int = MIN_WORDS, run: int = RUN_WORDS) -> tuple[list[str | None], list[list[tuple[int, int]]]]:
@@ -97,7 +97,7 @@ def cut(texts: list[str | None], late: list[list[int] | None], least: int = MIN_
         codes, clauses, units = u.codes(), np.searchsorted(u.of, np.arange(j - i + 1)), np.searchsorted(u.text, np.arange(j - i + 1))
         for n, k in enumerate(some):
             t, mine = texts[k], slice(units[n], units[n + 1])
-            gone = np.isin(codes[mine], np.array(late[k], np.int64))
+            gone = np.isin(codes[mine], np.array(late[k], np.int64)) | (u.again[mine] & (AGAIN in late[k]))
             cover = np.zeros(clauses[n + 1] - clauses[n] + 1, np.int64)
             np.add.at(cover, u.first[mine][gone] - clauses[n], 1)
             np.add.at(cover, u.last[mine][gone] - clauses[n] + 1, -1)
@@ -109,7 +109,10 @@ def cut(texts: list[str | None], late: list[list[int] | None], least: int = MIN_
 
 
 def units(docs: DataFrame, least: int = MIN_WORDS, run: int = RUN_WORDS) -> DataFrame:
-    """doc_id, code (place and part of the digest), d1, d2 (digest) and again of every unit of docs(doc_id, text)."""
+    """doc_id, d1 and code of every unit of docs(doc_id, text) that its text hasn't had before, and a row of code AGAIN where it has had one.
+
+    d1 and the low half of the code are the digest (96 bits), the high half of the code is the place.
+    """
     import pyarrow as pa
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,29 +120,25 @@ def units(docs: DataFrame, least: int = MIN_WORDS, run: int = RUN_WORDS) -> Data
             texts = [t or "" for t in b.column(1).to_pylist()]
             for i, j in C.steps(texts):
                 u = Units(texts[i:j], least, run)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(u.text + i)), pa.array(u.codes()), pa.array(u.d1), pa.array(u.d2), pa.array(u.again)], ["doc_id", "code", "d1", "d2", "again"])
+                new, own = np.flatnonzero(~u.again), np.unique(u.text[u.again])
+                d1, code = np.concatenate([u.d1[new], np.zeros(len(own), np.int64)]), np.concatenate([u.codes()[new], np.full(len(own), AGAIN)])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.concatenate([u.text[new], own]) + i)), pa.array(d1), pa.array(code)], ["doc_id", "d1", "code"])
 
-    return docs.mapInArrow(each, f"doc_id {C.kind(docs, 'doc_id')}, code long, d1 long, d2 long, again boolean")
+    return docs.mapInArrow(each, f"doc_id {C.kind(docs, 'doc_id')}, d1 long, code long")
 
 
 def repeats(docs: DataFrame, least: int = MIN_WORDS, run: int = RUN_WORDS) -> DataFrame:
-    """doc_id and codes (of its units that occurred before, by the order of doc_id and then of place)."""
+    """doc_id and codes (of its units that occurred before, by the order of doc_id and then of place; AGAIN for those that it repeats itself).
+
+    Joins sort both sides at any size, so that a run on little data has the plan of one on much.
+    """
     u = C.cut(units(docs, least, run))
-    fresh = u.where("not again")
+    fresh = u.where(F.col("code") != AGAIN).withColumn("d2", F.col("code").bitwiseAND(0xFFFFFFFF))
     first = fresh.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    late = fresh.join(first.hint("merge"), ["d1", "d2"]).where("doc_id <> first").select("doc_id", "code").union(u.where("again").select("doc_id", "code"))
+    late = fresh.join(first.hint("merge"), ["d1", "d2"]).where("doc_id <> first").select("doc_id", "code").union(u.where(F.col("code") == AGAIN).select("doc_id", "code"))
     return late.groupBy("doc_id").agg(F.collect_set("code").alias("codes"))
 
 
-def near_texts(late: DataFrame) -> DataFrame:
-    """late(doc_id, codes), already cut, marked for broadcast up to the sizes above, so that texts stay where they are read.
-
-    Beyond them the join sorts both sides, at any smaller size too: Catalyst's own threshold would change the plan midway.
-    """
-    size = late.agg(F.count("*").alias("docs"), F.sum(F.size("codes")).alias("units")).first()
-    return F.broadcast(late) if size.docs <= BROADCAST_DOCS and (size.units or 0) <= BROADCAST_UNITS else late.hint("merge")
-
-
 def cleaned(docs: DataFrame, least: int = MIN_WORDS, run: int = RUN_WORDS) -> DataFrame:
     """doc_id, text (what is left) and removed (array of struct start, end: spans of the original) of every row of docs(doc_id, text).
 
@@ -163,7 +162,7 @@ def cleaned(docs: DataFrame, least: int = MIN_WORDS, run: int = RUN_WORDS) -> Da
             removed = pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], pa.list_(span))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), removed], ["doc_id", "text", "removed"])
 
-    both = docs.join(near_texts(late), "doc_id", "left").select("doc_id", "text", "codes")
+    both = docs.join(late.hint("merge"), "doc_id", "left").select("doc_id", "text", "codes")
     return both.mapInArrow(clean, f"doc_id {key}, text string, removed array<struct<start:int,end:int>>")
 
 
@@ -179,8 +178,8 @@ def without_repeats(docs: DataFrame, least: int = MIN_WORDS, run: int = RUN_WORD
     plain, at = C.plain(docs), {n: f"c{i}" for i, n in enumerate(docs.columns)}
     key, text, chars = at["doc_id"], at["text"], at.get("n_chars")
     plain = plain.withColumn(text, F.col(text).cast("string"))
-    late = near_texts(C.cut(repeats(plain.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.col(text).alias("text")), least, run))).toDF("id", "codes")
-    both = plain.join(late, F.col(key) == F.col("id"), "left").drop("id")
+    late = C.cut(repeats(plain.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.col(text).alias("text")), least, run)).toDF("id", "codes")
+    both = plain.join(late.hint("merge"), F.col(key) == F.col("id"), "left").drop("id")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

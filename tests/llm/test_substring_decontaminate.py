@@ -67,21 +67,14 @@ def test_cleaned_equals_brute(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as removed", "3 as pos", "4 as codes", "5 as `a.b`", "6 as c0")
     want = brute_clean(rows)
     assert sum(bool(x[1]) for x in want.values()) > 30
-    for broadcast in (S.BROADCAST_DOCS, -1):
-        S.BROADCAST_DOCS, old = broadcast, S.BROADCAST_DOCS
-        try:
-            got, stage = S.cleaned(docs).collect(), S.without_repeats(docs)
-            assert stage.columns == docs.columns
-            stage = sorted(((r[0], r[1]) for r in stage.collect()), key=str)
-        finally:
-            S.BROADCAST_DOCS = old
-        assert len(got) == len(rows)
-        for r in got:
-            if r.doc_id is None or r.doc_id == 200:
-                assert not r.removed and (r.doc_id, r.text) in rows
-            else:
-                assert (r.text, [(s.start, s.end) for s in r.removed]) == want[r.doc_id]
-        assert stage == sorted(((r.doc_id, r.text) for r in got if not r.removed or r.text.strip()), key=str)
+    got, stage = S.cleaned(docs).collect(), S.without_repeats(docs)
+    assert stage.columns == docs.columns and len(got) == len(rows)
+    for r in got:
+        if r.doc_id is None or r.doc_id == 200:
+            assert not r.removed and (r.doc_id, r.text) in rows
+        else:
+            assert (r.text, [(s.start, s.end) for s in r.removed]) == want[r.doc_id]
+    assert sorted(((r[0], r[1]) for r in stage.collect()), key=str) == sorted(((r.doc_id, r.text) for r in got if not r.removed or r.text.strip()), key=str)
     assert S.cleaned(docs.limit(0)).count() == S.without_repeats(docs.limit(0)).count() == 0
 
 
@@ -183,9 +176,10 @@ def brute_matches(docs, items, rate):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("slice_chars", [D.SCAN_CHARS, 40])
-def test_matches_equal_brute(spark, slice_chars, monkeypatch):
-    monkeypatch.setattr(D, "SCAN_CHARS", slice_chars)
+@pytest.mark.parametrize(("slice_chars", "pass_chars", "held"), [(D.SCAN_CHARS, D.PASS_CHARS, D.HELD_CHARS), (40, 400, 700)])
+def test_matches_equal_brute(spark, slice_chars, pass_chars, held, monkeypatch):
+    for name, value in (("SCAN_CHARS", slice_chars), ("PASS_CHARS", pass_chars), ("HELD_CHARS", held)):
+        monkeypatch.setattr(D, name, value)
     rng = random.Random(9)
     word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(1, 7)))
     say = lambda n: " ".join(word() for _ in range(n))
@@ -198,4 +192,7 @@ def test_matches_equal_brute(spark, slice_chars, monkeypatch):
     assert got == brute_matches(docs, items, D.ERROR_RATE) and len(got) > 15
     kept = D.decontaminated(df, bench)
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == ({d for d, _ in docs} - {g[0] for g in got if g[0] is not None})
+    assert {len(D.matches(df, bench.selectExpr(f"cast(item_id as {k}) as item_id", "text", "text as distance")).collect()) for k in ("tinyint", "decimal(9,2)", "string")} == {len(got)}
+    odd = D.decontaminated(df.selectExpr("*", "1 as `a.b`", "2 as gone", "3 as c0"), bench)
+    assert odd.columns[-3:] == ["a.b", "gone", "c0"] and odd.count() == kept.count()
     assert D.matches(df, bench.limit(0)).count() == 0 and D.matches(df.limit(0), bench).count() == 0
