@@ -198,11 +198,11 @@ def fit_linear(rows: list[np.ndarray], target: np.ndarray, epochs: int = 6, batc
 
 def _labels(labels: DataFrame) -> DataFrame:
     """One row a doc_id: the worse of its labels; 0/1, null where unknown."""
-    return labels.where("doc_id is not null").groupBy("doc_id").agg((1 - F.min("quality")).alias("junk"), F.max("toxic").alias("toxic"))
+    return C.columns(labels, "doc_id", "quality", "toxic").where("doc_id is not null").groupBy("doc_id").agg((1 - F.min("quality")).alias("junk"), F.max("toxic").alias("toxic"))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return C.columns(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string"))
 
 
 def scored(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, reject: float = REJECT) -> DataFrame:
@@ -282,6 +282,10 @@ def scored(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, reject:
 
 
 def accepted(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, reject: float = REJECT) -> DataFrame:
-    """docs without the documents of which a row is rejected; columns and other rows as they were (a null doc_id stays)."""
+    """docs without the documents of which a row is rejected by :func:`scored`.
+
+    Null, empty and wordless texts are scored as any other; of a repeated doc_id all rows go if one is rejected; rows of
+    a null doc_id stay; an empty table gives no rows; all columns stay, whatever their names.
+    """
     gone = C.cut(scored(docs, labels, fit_docs, reject).where("not keep and doc_id is not null").select("doc_id").distinct())
-    return docs.join(C.small_ids(gone), "doc_id", "left_anti").select(docs.columns)
+    return C.without(docs, "doc_id", gone)

@@ -11,121 +11,196 @@ from pyspark.sql import functions as F
 from . import common as C
 
 #: Ids in a window; ids that a window shares with the one before; width of the model.
-WINDOW, OVERLAP, WIDTH = 48, 16, 16
-#: Classes of ids for the output (of about equal shares of the corpus), and rows of the input embedding.
-CLASSES, ROWS = 64, 8192
-#: Passes over the corpus, each over every id once; windows in a step; step size.
-EPOCHS, BATCH, RATE = 2, 64, 0.1
+WINDOW, OVERLAP, WIDTH = 32, 8, 16
+#: Bands of about this share of the corpus each, of at most so many ids.
+BANDS, BAND_IDS = 32, 256
+#: Passes over the corpus, each over every id once; rounds of a pass, after each of which the models are averaged.
+EPOCHS, ROUNDS = 1, 2
+#: Ids that one task trains on in a pass; models that are averaged at once; windows in a step; step size.
+GROUP_IDS, FAN, BATCH, RATE = 4_000_000, 64, 128, 0.2
 #: Bytes of parameters in a row that is averaged.
 CHUNK = 1 << 16
 
 
 class Vocabulary:
-    """What the corpus's counts of ids say: class and log share in it of each id, embedding row of each id, log shares of classes."""
-
-    def __init__(self, counts: np.ndarray):
-        p = (counts + 0.5) / (counts + 0.5).sum()
-        order = np.argsort(-counts, kind="stable")
-        upto = np.cumsum(p[order]) - p[order] / 2
-        classes = np.minimum((upto * CLASSES).astype(np.int64), CLASSES - 1)
-        self.cls = np.empty(len(counts), np.int64)
-        self.cls[order] = np.unique(classes, return_inverse=True)[1]
-        share = np.bincount(self.cls, weights=p, minlength=CLASSES)
-        self.inside = np.log(p / share[self.cls]).astype(np.float32)
-        self.bias = np.log(np.maximum(share, 1e-12)).astype(np.float32)
-        self.unigram = np.log(p).astype(np.float32)
-        # row 0 starts a text; the most frequent ids have a row each, the others share the last hundred
-        self.row = np.empty(len(counts), np.int64)
-        own = ROWS - 101
-        self.row[order] = np.where(np.arange(len(counts)) < own, np.arange(len(counts)) + 1, own + 1 + np.arange(len(counts)) % 100)
-
-
-SHAPES = {"emb": (ROWS, WIDTH), "pos": (WINDOW, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "o": (WIDTH, WIDTH), "out": (WIDTH, CLASSES), "bias": (CLASSES,)}
-_SCALE = np.float32(WIDTH**-0.5)
-_MASK = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+    """What the counts of ids say. Ids that occur are ranked by count; a band holds neighbours in rank, ``lo`` to ``hi``.
 
+    ``rank`` of each id, ``band`` of each rank, log share of each band (``bias``) and of each rank in its band (``inside``).
+    """
 
-def initial(bias: np.ndarray) -> np.ndarray:
-    rng = np.random.default_rng(11)
-    parts = [bias if k == "bias" else rng.normal(0, 0.3 if k == "emb" else 0.15, s) for k, s in SHAPES.items()]
-    return np.concatenate([p.ravel() for p in parts]).astype(np.float32)
+    def __init__(self, counts: np.ndarray):
+        used = np.flatnonzero(counts > 0)
+        used = used[np.lexsort((used, -counts[used]))]
+        self.size = len(used)
+        self.rank = np.full(len(counts), -1, np.int32)
+        self.rank[used] = np.arange(len(used))
+        p = counts[used] / max(1, counts.sum())
+        upto, at = np.cumsum(p), [0]
+        while at[-1] < len(used):
+            lo = at[-1]
+            full = int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + 1 / BANDS, side="right"))
+            at.append(min(len(used), max(lo + 1, min(full, lo + BAND_IDS))))
+        self.lo, self.hi = np.array(at[:-1], np.int64), np.array(at[1:], np.int64)
+        self.band = np.repeat(np.arange(len(self.lo)), self.hi - self.lo).astype(np.int16)
+        share = np.add.reduceat(p, self.lo) if len(used) else np.zeros(0)
+        self.bias = np.log(share).astype(np.float32)
+        self.inside = np.log(p / share[self.band]).astype(np.float32)
+        self.shapes = {
+            "pos": (WINDOW, WIDTH), "qkv": (WIDTH, 3 * WIDTH), "o": (WIDTH, WIDTH), "out": (WIDTH + 1, len(self.lo)),
+            "emb": (self.size + 1, WIDTH), "inner": (self.size, WIDTH + 1),
+        }
+
+    def initial(self) -> np.ndarray:
+        """Parameters before training, by which an id has about its share of the corpus. Row 0 of the embedding starts a text.
+
+        The last row of ``out`` and the last column of ``inner`` are added whatever the state.
+        """
+        rng = np.random.default_rng(11)
+        scale = {"emb": 0.3, "inner": 0.0}
+        parts = {k: rng.normal(0, 1, s) * scale.get(k, 0.15) for k, s in self.shapes.items()}
+        parts["out"][-1], parts["inner"][:, -1] = self.bias, self.inside
+        return np.concatenate([p.ravel() for p in parts.values()]).astype(np.float32)
+
+    def unpack(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        out, at = {}, 0
+        for k, s in self.shapes.items():
+            n = int(np.prod(s))
+            out[k] = flat[at : at + n].reshape(s)
+            at += n
+        return out
 
 
-def unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for k, s in SHAPES.items():
-        n = int(np.prod(s))
-        out[k] = flat[at : at + n].reshape(s)
-        at += n
-    return out
+_SCALE = np.float32(WIDTH**-0.5)
+_MASK = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+_SMALL = ("pos", "qkv", "o", "out")
 
 
 def attend(m: dict[str, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, ...]:
     """Hidden states of windows (B, WINDOW) of embedding rows, each place seeing itself and those before it."""
-    x = m["emb"][rows] + m["pos"]
     b = len(rows)
-    flat = x.reshape(-1, WIDTH)
-    q, k, v = ((flat @ m[n]).reshape(b, WINDOW, WIDTH) for n in "qkv")
-    a = np.matmul(q * _SCALE, k.transpose(0, 2, 1))
+    x = m["emb"].take(rows.ravel(), axis=0)
+    x.reshape(b, -1)[...] += m["pos"].ravel()
+    qkv = (x @ m["qkv"]).reshape(b, WINDOW, 3 * WIDTH)
+    q, k, v = qkv[:, :, :WIDTH], qkv[:, :, WIDTH : 2 * WIDTH], qkv[:, :, 2 * WIDTH :]
+    a = np.matmul(q, k.transpose(0, 2, 1))
+    a *= _SCALE
     np.clip(a, -30, 30, out=a)
     np.exp(a, out=a)
     a *= _MASK
     a /= a.sum(axis=2, keepdims=True)
-    mid = np.matmul(a, v)
-    h = x + (mid.reshape(-1, WIDTH) @ m["o"]).reshape(x.shape)
+    mid = np.matmul(a, v).reshape(-1, WIDTH)
+    h = mid @ m["o"]
+    h += x
     return h, x, q, k, v, a, mid
 
 
-def class_logs(m: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log chance of each target class, chances of all classes) for hidden states h (n, WIDTH)."""
-    z = h @ m["out"] + m["bias"]
-    z -= z.max(axis=1, keepdims=True)
-    e = np.exp(z)
-    total = e.sum(axis=1)
-    return z[np.arange(len(z)), target] - np.log(total), e / total[:, None]
+def _safe(z: np.ndarray, top: np.ndarray | None = None, each: np.ndarray | None = None) -> None:
+    """Take a row's largest value from it, where exp could leave the range of floats otherwise (rows that start at ``top``, ``each`` long)."""
+    if z.size and (z.max() > 80 or z.min() < -80):
+        z -= z.max(axis=1, keepdims=True) if top is None else np.repeat(np.maximum.reduceat(z, top), each)
 
 
-def _by_row(rows: np.ndarray, dx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct rows, ascending, and the sum of dx for each)."""
-    order = np.argsort(rows, kind="stable")
-    sort = rows[order]
-    at = np.flatnonzero(np.concatenate([[True], sort[1:] != sort[:-1]]))
-    return sort[at], np.add.reduceat(dx[order], at, axis=0)
+class Heads:
+    """Chances of ranks given their states: of each rank's band, and of it in its band.
 
+    Rows are in the order of bands; those of bands of several ids have a stretch of ``inner`` each, one value an id.
+    """
 
-def gradient(m: dict[str, np.ndarray], rows: np.ndarray, target: np.ndarray, real: np.ndarray) -> tuple[float, np.ndarray]:
-    """(mean negative log chance of the real target classes, its gradient as one flat array)."""
-    loss, dx, rest = _parts(m, rows, target, real)
-    emb = np.zeros(SHAPES["emb"], np.float32)
-    np.add.at(emb, rows.ravel(), dx.reshape(-1, WIDTH))
-    return loss, np.concatenate([emb.ravel(), rest])
+    def __init__(self, m: dict[str, np.ndarray], voc: Vocabulary, h: np.ndarray, ranks: np.ndarray):
+        self.m, self.order = m, np.argsort(voc.band[ranks], kind="stable")
+        ranks = ranks[self.order]
+        self.bands = bands = voc.band[ranks]
+        self.h = np.ones((len(ranks), WIDTH + 1), h.dtype)
+        self.h[:, :WIDTH] = h[self.order]
+        self.outer = self.h @ m["out"]
+        _safe(self.outer)
+        self.rows = np.arange(len(ranks))
+        logs = self.outer[self.rows, bands]
+        np.exp(self.outer, out=self.outer)
+        self.total = self.outer.sum(axis=1)
+        logs -= np.log(self.total)
+        size = (voc.hi - voc.lo)[bands]
+        self.several = np.flatnonzero(size > 1)
+        self.size = size[self.several]
+        end = np.cumsum(self.size)
+        self.top = end - self.size
+        self.inner = np.empty(int(end[-1]) if len(end) else 0, h.dtype)
+        at = [0, *(np.flatnonzero(np.diff(bands)) + 1).tolist(), len(bands)] if len(bands) else [0]
+        #: of each band of several ids that occurs: its rows, first rank and the one behind its last, place of its values
+        self.parts, place = [], 0
+        for i, j in zip(at, at[1:], strict=False):
+            lo, hi = int(voc.lo[bands[i]]), int(voc.hi[bands[i]])
+            if hi - lo > 1:
+                to = place + (j - i) * (hi - lo)
+                self.parts.append((i, j, lo, hi, place, to))
+                np.matmul(self.h[i:j], m["inner"][lo:hi].T, out=self.inner[place:to].reshape(j - i, hi - lo))
+                place = to
+        if len(self.size):
+            _safe(self.inner, self.top, self.size)
+            self.chosen = self.top + ranks[self.several] - voc.lo[bands[self.several]]
+            got = self.inner[self.chosen]
+            np.exp(self.inner, out=self.inner)
+            self.within = np.add.reduceat(self.inner, self.top)
+            logs[self.several] += got - np.log(self.within)
+        self.logs = logs
+
+    def backward(self) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, np.ndarray]]]:
+        """Gradients of the mean negative log chance: of the states (in the order of rows), of ``out``, of ``inner`` by run of bands."""
+        z, n = self.outer, np.float32(1 / max(1, len(self.rows)))
+        z *= (n / self.total)[:, None]
+        z[self.rows, self.bands] -= n
+        dh = z @ self.m["out"].T
+        out, runs = self.h.T @ z, []
+        if self.parts:
+            z = self.inner
+            z *= np.repeat(n / self.within, self.size)
+            z[self.chosen] -= n
+            g = np.empty((sum(hi - lo for _, _, lo, hi, _, _ in self.parts), WIDTH + 1), z.dtype)
+            at = 0
+            for i, j, lo, hi, a, b in self.parts:
+                own = z[a:b].reshape(j - i, hi - lo)
+                np.matmul(own.T, self.h[i:j], out=g[at : at + hi - lo])
+                dh[i:j] += own @ self.m["inner"][lo:hi]
+                if runs and runs[-1][1] == lo:
+                    runs[-1] = (runs[-1][0], hi, runs[-1][2])
+                else:
+                    runs.append((lo, hi, at))
+                at += hi - lo
+            runs = [(lo, hi, g[x : x + hi - lo]) for lo, hi, x in runs]
+        return dh[:, :WIDTH], out, runs
+
+
+def chances(m: dict[str, np.ndarray], voc: Vocabulary, h: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Log chance of each rank given its hidden state."""
+    heads = Heads(m, voc, h, ranks)
+    out = np.empty(len(ranks), h.dtype)
+    out[heads.order] = heads.logs
+    return out
 
 
-def _parts(m: dict[str, np.ndarray], rows: np.ndarray, target: np.ndarray, real: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """(mean negative log chance of the real target classes; its gradient for the rows at each place, and for all parameters behind the rows)."""
+def gradient(m: dict[str, np.ndarray], voc: Vocabulary, rows: np.ndarray, ranks: np.ndarray, real: np.ndarray):
+    """(mean negative log chance of the real ranks, its gradient by small parameter, that by place of the embedding's rows, that of ``inner`` by run)."""
     h, x, q, k, v, a, mid = attend(m, rows)
-    n = max(1, int(real.sum()))
-    hf = h.reshape(-1, WIDTH)
-    logs, p = class_logs(m, hf, target.ravel())
-    w = real.ravel().astype(np.float32) / np.float32(n)
-    p[np.arange(len(p)), target.ravel()] -= 1
-    dz = p * w[:, None]
-    g = {"out": hf.T @ dz, "bias": dz.sum(axis=0)}
-    dh = dz @ m["out"].T
-    midf = mid.reshape(-1, WIDTH)
-    g["o"] = midf.T @ dh
-    dmid = (dh @ m["o"].T).reshape(x.shape)
-    da = np.matmul(dmid, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), dmid)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    dq, dk = np.matmul(ds, k) * _SCALE, np.matmul(ds.transpose(0, 2, 1), q) * _SCALE
-    xf, dx = x.reshape(-1, WIDTH), dh.copy()
-    for name, d in (("q", dq), ("k", dk), ("v", dv)):
-        df = d.reshape(-1, WIDTH)
-        g[name] = xf.T @ df
-        dx += df @ m[name].T
-    g["pos"] = dx.reshape(x.shape).sum(axis=0)
-    return float(-(logs * w).sum()), dx.reshape(x.shape), np.concatenate([g[k].ravel() for k in SHAPES if k != "emb"])
+    shape, use = (len(rows), WINDOW, WIDTH), np.flatnonzero(real.ravel())
+    heads = Heads(m, voc, h[use], ranks.ravel()[use])
+    loss = -float(heads.logs.mean()) if len(use) else 0.0
+    dhu, out, inner = heads.backward()
+    dh = np.zeros(h.shape, h.dtype)
+    dh[use[heads.order]] = dhu
+    g = {"out": out, "o": mid.T @ dh}
+    dmid = (dh @ m["o"].T).reshape(shape)
+    ds = np.matmul(dmid, v.transpose(0, 2, 1))
+    ds *= a
+    ds -= a * ds.sum(axis=2, keepdims=True)
+    ds *= _SCALE
+    d = np.empty((len(rows), WINDOW, 3 * WIDTH), h.dtype)
+    d[:, :, :WIDTH], d[:, :, WIDTH : 2 * WIDTH], d[:, :, 2 * WIDTH :] = np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), np.matmul(a.transpose(0, 2, 1), dmid)
+    d = d.reshape(-1, 3 * WIDTH)
+    g["qkv"] = x.T @ d
+    dx = dh
+    dx += d @ m["qkv"].T
+    g["pos"] = dx.reshape(shape).sum(axis=0)
+    return loss, g, dx, inner
 
 
 def windows(lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,35 +213,28 @@ def windows(lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _inputs(ids: list[np.ndarray], voc: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(embedding rows seen, ids to score, first place of each text) of texts one after another, with room for a window behind."""
+    """(embedding rows seen, ranks, first place of each text) of texts one after another, with room for a window behind."""
     lens = np.array([len(x) for x in ids], np.int64)
-    flat = np.concatenate([*ids, np.zeros(WINDOW, np.int64)]).astype(np.int64)
-    rows = np.zeros(len(flat), np.int64)
-    rows[1:] = voc.row[flat[:-1]]
+    ranks = np.concatenate([voc.rank[np.concatenate(ids)] if len(ids) else np.zeros(0, np.int32), np.zeros(WINDOW, np.int32)])
+    rows = np.zeros(len(ranks), np.int32)
+    rows[1:] = ranks[:-1] + 1
     at = np.cumsum(lens) - lens
     rows[at[lens > 0]] = 0
-    return rows, flat, at
+    return rows, ranks, at
 
 
 def scores(m: dict[str, np.ndarray], ids: list[np.ndarray], voc: Vocabulary, batch: int = 128) -> np.ndarray:
     """Sum of the log chances of each text's ids."""
     lens = np.array([len(x) for x in ids], np.int64)
-    rows, flat, at = _inputs(ids, voc)
+    rows, ranks, at = _inputs(ids, voc)
     text, first, scored = windows(lens)
-    out = np.zeros(len(ids))
+    out, offsets = np.zeros(len(ids)), np.arange(WINDOW)
     for i in range(0, len(text), batch):
         t, f, s = text[i : i + batch], first[i : i + batch], scored[i : i + batch]
-        place = f[:, None] + np.arange(WINDOW)
-        take = at[t][:, None] + place
-        use = (place >= s[:, None]) & (place < lens[t][:, None])
+        take = (at[t] + f)[:, None] + offsets
+        use = np.flatnonzero(((offsets >= (s - f)[:, None]) & (offsets < (lens[t] - f)[:, None])).ravel())
         h = attend(m, rows[take])[0][use]
-        own = flat[take[use]]
-        z = h @ m["out"]
-        z += m["bias"]
-        chosen = z[np.arange(len(z)), voc.cls[own]]
-        np.exp(z, out=z)
-        logs = chosen - np.log(z.sum(axis=1)) + voc.inside[own]
-        out += np.bincount(np.broadcast_to(t[:, None], use.shape)[use], weights=logs, minlength=len(ids))
+        out += np.bincount(np.repeat(t, WINDOW)[use], weights=chances(m, voc, h, ranks[take.ravel()[use]]), minlength=len(ids))
     return out
 
 
@@ -177,31 +245,38 @@ def training(lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return text, (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)) * WINDOW
 
 
-def train_pass(flat: np.ndarray, texts: Iterator[list[np.ndarray]], voc: Vocabulary, epoch: int) -> tuple[np.ndarray, int]:
-    """(parameters after Adagrad over every window of each text, ids trained on); windows are mixed within a step of texts."""
+def train_pass(flat: np.ndarray, ids: list[np.ndarray], voc: Vocabulary, seed: int) -> tuple[np.ndarray, int]:
+    """(parameters after Adagrad over every window of each text, in a mixed order; ids trained on)."""
     flat = flat.copy()
-    m, sq = unpack(flat), np.full(len(flat), 1e-3, np.float32)
-    seen, rng = 0, np.random.default_rng(epoch)
-    emb, rest = ROWS * WIDTH, slice(ROWS * WIDTH, None)
-    sums = sq[:emb].reshape(ROWS, WIDTH)
-    for own in texts:
-        for i, j in C.steps(own, 1 << 18):
-            lens = np.array([len(x) for x in own[i:j]], np.int64)
-            rows, target, at = _inputs(own[i:j], voc)
-            text, first = training(lens)
-            mixed = rng.permutation(len(text))
-            for k in range(0, len(mixed), BATCH):
-                t, f = text[mixed[k : k + BATCH]], first[mixed[k : k + BATCH]]
-                place = f[:, None] + np.arange(WINDOW)
-                take, real = at[t][:, None] + place, place < lens[t][:, None]
-                _, dx, g = _parts(m, seen_rows := np.where(real, rows[take], 0), np.where(real, voc.cls[target[take]], 0), real)
-                # rows that no window holds have no gradient, and Adagrad leaves them as they are
-                held, part = _by_row(seen_rows[real], dx[real])
-                sums[held] += np.square(part)
-                m["emb"][held] -= RATE * part / np.sqrt(sums[held])
-                sq[rest] += np.square(g)
-                flat[rest] -= RATE * g / np.sqrt(sq[rest])
-                seen += int(real.sum())
+    m, sq = voc.unpack(flat), voc.unpack(np.full(len(flat), 1e-3, np.float32))
+    lens = np.array([len(x) for x in ids], np.int64)
+    rows, ranks, at = _inputs(ids, voc)
+    text, first = training(lens)
+    mixed, offsets, seen = np.random.default_rng(seed).permutation(len(text)), np.arange(WINDOW), 0
+
+    def learn(value: np.ndarray, total: np.ndarray, g: np.ndarray) -> None:
+        total += g * g
+        value -= RATE * g / np.sqrt(total)
+
+    for i in range(0, len(mixed), BATCH):
+        t, f = text[mixed[i : i + BATCH]], first[mixed[i : i + BATCH]]
+        take, real = (at[t] + f)[:, None] + offsets, offsets < (lens[t] - f)[:, None]
+        own = np.where(real, rows[take], 0)
+        _, g, dx, inner = gradient(m, voc, own, ranks[take], real)
+        for k in _SMALL:
+            learn(m[k], sq[k], g[k])
+        for lo, hi, own_g in inner:
+            learn(m["inner"][lo:hi], sq["inner"][lo:hi], own_g)
+        # rows that no window holds have no gradient, and Adagrad leaves them as they are
+        place = np.flatnonzero(real.ravel())
+        place = place[np.argsort(own.ravel()[place], kind="stable")]
+        row = own.ravel()[place]
+        start = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        part, held = np.add.reduceat(dx[place], start, axis=0), row[start]
+        total = sq["emb"][held] + part * part
+        sq["emb"][held] = total
+        m["emb"][held] -= RATE * part / np.sqrt(total)
+        seen += len(place)
     return flat, seen
 
 
@@ -209,17 +284,62 @@ def _ids(column, dtype) -> list[np.ndarray]:
     return [np.frombuffer(x, dtype) for x in column.to_pylist()]
 
 
+def trained(coded: DataFrame, voc: Vocabulary, total: int, dtype, epochs: int, group_ids: int = GROUP_IDS) -> np.ndarray:
+    """Parameters trained on every id of coded(h, ids) once an epoch.
+
+    Rows fall by their hash into groups of about ``group_ids`` ids and into rounds. In a round, each group goes on from the
+    shared parameters, over its rows in the order of their hash, and the results are averaged by ids trained on, FAN at a
+    time. So what comes out doesn't depend on how the rows are partitioned.
+    """
+    import pyarrow as pa
+
+    spark, flat = coded.sparkSession, voc.initial()
+    groups = max(1, -(-total // group_ids))
+    shared_voc, fields = spark.sparkContext.broadcast(voc), "grp long, part int, n long, raw binary"
+    placed = coded.select(F.pmod("h", F.lit(groups)).alias("grp"), F.pmod(F.shiftright("h", 40), F.lit(ROUNDS)).alias("round"), "h", "ids")
+
+    def rows(grp: int, n: int, out: np.ndarray) -> pa.Table:
+        raw = out.astype(np.float32).tobytes()
+        parts = [raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)] if n else []
+        return pa.table({"grp": pa.array([grp] * len(parts), pa.int64()), "part": pa.array(range(len(parts)), pa.int32()), "n": pa.array([n] * len(parts), pa.int64()), "raw": pa.array(parts, pa.binary())})
+
+    # what applyInArrow takes has one argument and no hints
+    def learner(now, seed: int):
+        def learn(t):
+            t = t.sort_by([("h", "ascending"), ("ids", "ascending")])
+            out, n = train_pass(now.value, _ids(t["ids"], dtype), shared_voc.value, seed)
+            return rows(t["grp"][0].as_py(), n, out)
+
+        return learn
+
+    def average(t):
+        t, total, n = t.sort_by("grp"), 0.0, 0
+        for w, raw in zip(t["n"].to_pylist(), t["raw"].to_pylist(), strict=True):
+            total, n = total + np.frombuffer(raw, np.float32).astype(np.float64) * w, n + w
+        return pa.table({"grp": pa.array([t["to"][0].as_py()], pa.int64()), "part": t["part"].slice(0, 1), "n": pa.array([n], pa.int64()), "raw": pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())})
+
+    for seed in range(epochs * ROUNDS):
+        now = spark.sparkContext.broadcast(flat)
+        models = placed.where(F.col("round") == seed % ROUNDS).groupBy("grp").applyInArrow(learner(now, seed), fields)
+        left = groups
+        while left > 1:
+            models = models.withColumn("to", F.expr(f"grp div {FAN}")).groupBy("to", "part").applyInArrow(average, fields)
+            left = -(-left // FAN)
+        if got := sorted(models.select("part", "raw").collect(), key=lambda r: r.part):  # the parameters, once
+            flat = np.frombuffer(b"".join(bytes(r.raw) for r in got), np.float32)
+    return flat
+
+
 def scored(docs: DataFrame, vocab: str = C.VOCAB, epochs: int = EPOCHS) -> DataFrame:
     """doc_id, n_tokens, logprob (sum of natural logs) and perplexity of every row of docs(doc_id, text).
 
-    The ids of all texts are counted; the counts set classes of ids for the output. Each epoch trains on every id
-    once: each partition goes on from the shared parameters and the results are averaged by ids trained on. Then
-    windows of WINDOW ids, which share OVERLAP ids with the one before, score each id once, given the ids before it in
-    its window: chance of its class by the model times its share of the class. Null and empty texts have n_tokens 0,
-    logprob 0 and a null perplexity; a null doc_id stays null; repeated rows are trained on and scored each; an empty
-    table gives no rows; other columns are ignored. Ids are written once to the shared folder; no text is shuffled.
+    The ids of all texts are counted, and those that occur are ranked and split into bands. A causal self-attention model
+    is trained on every id of every text once an epoch (:func:`trained`) to tell the band of the next id, and the id in
+    its band, both from the state of attention. Then windows of WINDOW ids, which share OVERLAP ids with the one before,
+    score each id once, given the ids before it in its window. Null and empty texts have n_tokens 0, logprob 0 and a null
+    perplexity; a null doc_id stays null; repeated rows are trained on and scored each; an empty table gives no rows;
+    other columns are ignored. Ids are written once to the shared folder; training shuffles ids, no text.
     """
-    import pandas as pd
     import pyarrow as pa
 
     spark, key = docs.sparkSession, C.kind(docs, "doc_id")
@@ -230,7 +350,8 @@ def scored(docs: DataFrame, vocab: str = C.VOCAB, epochs: int = EPOCHS) -> DataF
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([enc.raw(t) for t in b.column(1).to_pylist()], pa.binary())], ["doc_id", "ids"])
 
-    coded = C.cut(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(encode, f"doc_id {key}, ids binary"))
+    texts = C.columns(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string"))
+    coded = C.cut(texts.mapInArrow(encode, f"doc_id {key}, ids binary").withColumn("h", F.xxhash64("doc_id", "ids")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(size, np.int64)
@@ -245,29 +366,11 @@ def scored(docs: DataFrame, vocab: str = C.VOCAB, epochs: int = EPOCHS) -> DataF
     counts[seen["id"]] = seen["n"]
     voc = Vocabulary(counts)
     shared_voc = spark.sparkContext.broadcast(voc)
-    flat = initial(voc.bias)
-    for epoch in range(epochs):
-        now = spark.sparkContext.broadcast(flat)
-
-        def learn(batches: Iterator[pa.RecordBatch], now=now, epoch=epoch) -> Iterator[pa.RecordBatch]:
-            out, n = train_pass(now.value, (_ids(b.column(0), dtype) for b in batches), shared_voc.value, epoch)
-            raw = out.tobytes()
-            parts = [raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)] if n else []
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([n] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["part", "n", "raw"])
-
-        def average(df: pd.DataFrame) -> pd.DataFrame:
-            total, n = 0.0, 0
-            for w, raw in zip(df["n"], df["raw"], strict=True):
-                total, n = total + np.frombuffer(raw, np.float32).astype(np.float64) * w, n + w
-            return pd.DataFrame({"part": [df["part"].iloc[0]], "raw": [(total / n).astype(np.float32).tobytes()]})
-
-        parts = coded.select("ids").mapInArrow(learn, "part int, n long, raw binary").groupBy("part").applyInPandas(average, "part int, raw binary").collect()  # the parameters
-        if parts:
-            flat = np.frombuffer(b"".join(bytes(r.raw) for r in sorted(parts, key=lambda r: r.part)), np.float32)
-    final = spark.sparkContext.broadcast(flat)
+    final = spark.sparkContext.broadcast(trained(coded.where(F.length("ids") > 0), voc, int(counts.sum()), dtype, epochs) if voc.size else voc.initial())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, v = unpack(final.value), shared_voc.value
+        v = shared_voc.value
+        m = v.unpack(final.value)
         for b in batches:
             ids = _ids(b.column(1), dtype)
             for i, j in C.steps(ids, 1 << 18):
@@ -276,4 +379,4 @@ def scored(docs: DataFrame, vocab: str = C.VOCAB, epochs: int = EPOCHS) -> DataF
                 ppl = np.exp(np.minimum(-s / np.maximum(n, 1), 700))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n), pa.array(s), pa.array(ppl, mask=n == 0)], ["doc_id", "n_tokens", "logprob", "perplexity"])
 
-    return coded.mapInArrow(score, f"doc_id {key}, n_tokens long, logprob double, perplexity double")
+    return coded.select("doc_id", "ids").mapInArrow(score, f"doc_id {key}, n_tokens long, logprob double, perplexity double")

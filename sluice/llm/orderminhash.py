@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, k: int = K, size: int = TUPLE, sketches: int =
                     out.append(signature(own, k, size, sketches))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), C.list_column(out, np.int64)], ["doc_id", "n_kmers", "signature"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {key}, n_kmers long, signature array<long>")
+    return C.columns(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string")).mapInArrow(run, f"doc_id {key}, n_kmers long, signature array<long>")
 
 
 def similarity(a: str, b: str) -> object:

@@ -117,4 +117,4 @@ def token_blocks(docs: DataFrame, vocab: str = C.VOCAB, block: int = BLOCK, shar
                     ["doc_id", "n_tokens", "payload", "starts"],
                 )
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {key}, n_tokens long, payload binary, starts array<int>")
+    return C.columns(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string")).mapInArrow(run, f"doc_id {key}, n_tokens long, payload binary, starts array<int>")
