@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,12 +11,19 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-#: Most labelled URLs that the trees are fitted on, chosen by hash.
-FIT_URLS = 40_000
+#: Most labelled URLs that one model is fitted on, chosen by hash.
+FIT_URLS = 20_000
 TREES, DEPTH, RATE, BINS, LEAF, L2 = 40, 4, 0.3, 32, 5, 1.0
 REJECT = 0.5
-#: Parts of host names that label a URL as unwanted, and so make the labelled set of the query.
-BLOCKED = ("cheap-pills", "casino-win", "free-bets", "adult-x", "spam-farm", "ads-track")
+#: Words that, as a whole part of a host's name, put it on the block list by which the query labels its URLs.
+BLOCKED = tuple("adult ads bets betting casino crack escort gambling keygen loans lottery malware phishing pills poker porn slots spam tracker viagra warez xxx".split())
+#: Suffixes of two labels under which names are registered; elsewhere the last label is the suffix.
+SUFFIXES = tuple(
+    "ac.jp ac.uk blogspot.com co.id co.il co.in co.jp co.ke co.kr co.nz co.th co.uk co.za com.ar com.au com.br com.cn com.co com.eg com.hk com.mx com.my com.ng com.pe com.ph com.pk com.pl com.sg com.tr com.tw com.ua com.ve com.vn "
+    "edu.au edu.cn github.io gob.mx gov.au gov.br gov.cn gov.in gov.uk ltd.uk me.uk ne.jp net.au net.br net.cn net.nz net.uk or.jp or.kr org.au org.br org.cn org.in org.nz org.uk org.za plc.uk sch.uk".split()
+)
+#: First labels that say nothing of whose host it is.
+FRONTS = ("www", "m", "blog", "mobile", "amp", "en", "de", "fr", "es")
 FEATURES = (
     "length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digit_ratio", "entropy", "host_entropy", "params", "query_length", "hyphens",
     "host_hyphens", "https", "fragment", "longest_label", "vowel_ratio", "suffix_share", "suffix_rate", "extension",
@@ -42,8 +50,12 @@ def split_url(url: str) -> tuple[str, str, str, str, str]:
 
 
 def suffix(url: str) -> str:
-    """The last two labels of the host, or the host."""
-    return ".".join(split_url(url)[1].split(".")[-2:])
+    """The public suffix of the host by SUFFIXES, or "ip"."""
+    host = split_url(url)[1]
+    if re.fullmatch(r"[0-9]+(\.[0-9]+){3}", host):
+        return "ip"
+    two = ".".join(host.split(".")[-2:])
+    return two if two in SUFFIXES else host.split(".")[-1]
 
 
 def lexical(url: str, share: float, rate: float) -> list[float]:
@@ -119,61 +131,71 @@ def fit(x: np.ndarray, y: np.ndarray) -> Trees:
     return model
 
 
-def blocked(url: Column, parts: tuple[str, ...] = BLOCKED) -> Column:
-    """1 where the host of a URL has one of these parts, else 0; null for null."""
-    host = F.lower(F.regexp_extract(F.trim(url), r"^(?:[^:/?#]+://)?([^/?#]*)", 1))
-    found = F.lit(False)
-    for p in parts:
-        found = found | host.contains(p)
-    return F.when(url.isNotNull(), found.cast("int"))
+def _host(url: Column) -> Column:
+    return F.regexp_extract(F.lower(F.trim(url)), r"^(?:[^:/?#]+://)?(?:[^/?#]*@)?([^/?#:]*)", 1)
+
+
+def blocked(url: Column, words: tuple[str, ...] = BLOCKED) -> Column:
+    """1 where a part of a URL's host between dots and hyphens is one of these words, else 0; null for null."""
+    return F.when(url.isNotNull(), _host(url).rlike(r"(?:^|[.-])(?:" + "|".join(map(re.escape, words)) + r")(?:[.-]|$)").cast("int"))
+
+
+def placed(urls: DataFrame) -> DataFrame:
+    """urls(url) with suffix, as :func:`suffix` has it, and fold: 0 or 1 by the host without a front label, so that a host's URLs are in one fold."""
+    host = _host(F.col("url"))
+    two = F.substring_index(host, ".", -2)
+    tail = F.when(host.rlike(r"^[0-9]+(\.[0-9]+){3}$"), "ip").when(two.isin(*SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    own = F.regexp_replace(host, "^(?:" + "|".join(FRONTS) + r")\.(?=[^.]+\.)", "")
+    return urls.withColumns({"suffix": F.coalesce(tail, F.lit("")), "fold": F.coalesce(F.pmod(F.xxhash64(own), F.lit(2)), F.lit(0)).cast("int")})
 
 
 def filtered(pages: DataFrame, labelled: DataFrame, fit_urls: int = FIT_URLS, reject: float = REJECT) -> DataFrame:
     """page_id, url, score (chance of unwanted) and keep (below ``reject``) of every row of pages(page_id, url).
 
-    labelled(url, label) trains the trees: at most ``fit_urls`` of its distinct URLs with a label, by the hash of the
-    URL; of differing labels of one URL the larger counts. suffix_share is the share of all pages that have the URL's
-    suffix, suffix_rate the smoothed rate of label 1 over all labelled URLs of that suffix without the URL itself.
-    Null and blank URLs have score null and keep false; repeated rows give repeated rows; without labels of both kinds
-    every score is the base rate; an empty table gives no rows; other columns are ignored.
+    labelled(url, label) trains the trees; of differing labels of one URL the larger counts. Hosts fall into two folds, and
+    a URL is scored by the model and the suffix statistics of the other fold, so that nothing is scored by labels of its
+    own host: each model is fitted on at most ``fit_urls`` labelled URLs, by hash. suffix_share is the share of all pages
+    that have the URL's public suffix, suffix_rate the smoothed rate of label 1 over all labelled URLs of that suffix and
+    fold. Null and blank URLs have score null and keep false; repeated rows give repeated rows; without labels of both
+    kinds in a fold the other has its base rate for a score; an empty table gives no rows; other columns are ignored.
     """
     import pyarrow as pa
 
     spark, key = pages.sparkSession, C.kind(pages, "page_id")
-    pages = pages.select("page_id", F.col("url").cast("string").alias("url"))
-    tail = lambda c: F.substring_index(F.regexp_extract(F.lower(F.trim(c)), r"^(?:[^:/?#]+://)?(?:[^/?#]*@)?([^/?#:]*)", 1), ".", -2)
-    known = C.cut(labelled.select(F.col("url").cast("string").alias("url"), "label").where("label is not null and trim(url) <> ''").groupBy("url").agg(F.max("label").cast("int").alias("label")))
-    rates = known.groupBy(tail(F.col("url")).alias("suffix")).agg(F.sum("label").alias("bad"), F.count("*").alias("n"))
-    counts = pages.where("trim(url) <> ''").groupBy(tail(F.col("url")).alias("suffix")).agg(F.count("*").alias("pages"))
-    total = known.agg(F.sum("label").alias("bad"), F.count("*").alias("n")).first()
-    base = ((total.bad or 0) + 0.5) / (total.n + 1)
-    stats = C.cut(counts.join(rates, "suffix", "full").na.fill(0, ["bad", "n", "pages"]))
-    all_pages = max(1, stats.agg(F.sum("pages")).first()[0] or 0)
+    pages = placed(C.columns(pages, "page_id", "url").withColumn("url", F.col("url").cast("string")))
+    labelled = C.columns(labelled, "url", "label").withColumn("url", F.col("url").cast("string"))
+    known = C.cut(placed(labelled.where("label is not null and trim(url) <> ''").groupBy("url").agg(F.max("label").cast("int").alias("label"))))
+    summed = lambda what, f: F.coalesce(F.sum(F.when(F.col("fold") == f, what)), F.lit(0))
+    rates = known.groupBy("suffix").agg(*(summed(what, f).alias(f"{name}{f}") for f in (0, 1) for name, what in (("bad", F.col("label")), ("n", F.lit(1)))))
+    counts = pages.where("trim(url) <> ''").groupBy("suffix").agg(F.count("*").alias("pages"))
+    numbers = ["pages", "bad0", "bad1", "n0", "n1"]
+    stats = C.cut(counts.join(rates, "suffix", "full").na.fill(0, numbers))
+    total = stats.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in numbers)).first()
+    all_pages, base = max(1, total.pages), [(total[f"bad{f}"] + 0.5) / (total[f"n{f}"] + 1) for f in (0, 1)]
     stats = C.small_ids(stats)
 
-    def joined(df: DataFrame) -> DataFrame:
-        own = df.withColumn("suffix", tail(F.col("url")))
-        return own.join(stats, "suffix", "left").na.fill(0, ["bad", "n", "pages"])
-
-    def rows(urls, pages_, bad, n, label=None) -> np.ndarray:
-        # a URL's own label is taken out of its suffix's rate
-        lab = [0] * len(urls) if label is None else label
-        mine = 0 if label is None else 1
-        return np.array([lexical(u or "", p / all_pages, (b - y + 20 * base) / (m - mine + 20)) for u, p, b, m, y in zip(urls, pages_, bad, n, lab, strict=True)]).reshape(-1, len(FEATURES))
+    def rows(urls, share, bad, n, fold, own=None) -> np.ndarray:
+        """Features by the statistics of ``fold``, without the URL's own label where it is one of them."""
+        own = [None] * len(urls) if own is None else own
+        rate = [(b - (y or 0) + 20 * base[f]) / (m - (y is not None) + 20) for b, m, f, y in zip(bad, n, fold, own, strict=True)]
+        return np.array([lexical(u or "", p / all_pages, r) for u, p, r in zip(urls, share, rate, strict=True)]).reshape(-1, len(FEATURES))
 
-    sample = joined(known.orderBy(F.xxhash64("url"), "url").limit(fit_urls)).toPandas().sort_values("url")
-    model = fit(rows(sample["url"], sample["pages"], sample["bad"], sample["n"], sample["label"]), sample["label"].to_numpy(float))
-    shared = spark.sparkContext.broadcast(model)
+    models = []
+    for f in (0, 1):
+        sample = known.where(F.col("fold") == 1 - f).orderBy(F.xxhash64("url"), "url").limit(fit_urls).join(stats, "suffix", "left").na.fill(0, numbers).toPandas().sort_values("url")
+        models.append(fit(rows(sample["url"], sample["pages"], sample[f"bad{1 - f}"], sample[f"n{1 - f}"], [1 - f] * len(sample), sample["label"]), sample["label"].to_numpy(float)))
+    shared = spark.sparkContext.broadcast(models)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            urls, lab, mine = b.column(1).to_pylist(), np.array(b.column(5).to_pylist(), float), np.array(b.column(6).to_pylist(), float)
-            pages_, bad, n = (np.array(b.column(i).to_pylist(), float) for i in (2, 3, 4))
-            x = np.array([lexical(u or "", p / all_pages, (d - y + 20 * base) / (m - k + 20)) for u, p, d, m, y, k in zip(urls, pages_, bad, n, lab, mine, strict=True)]).reshape(-1, len(FEATURES))
-            s = shared.value.chances(x)
+            urls, share, bad, n, fold = (b.column(i).to_pylist() for i in range(1, 6))
+            x, at = rows(urls, share, bad, n, [1 - f for f in fold]), np.array(fold, np.int64)
+            s = np.zeros(len(urls))
+            for f in (0, 1):
+                s[at == f] = shared.value[f].chances(x[at == f])
             none = np.array([not (u or "").strip() for u in urls], bool)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, mask=none), pa.array((s < reject) & ~none)], ["page_id", "url", "score", "keep"])
 
-    # the scored URL's own label, if it has one, is taken out of the rate as in training
-    marked = joined(pages).join(known.select("url", "label", F.lit(1).alias("mine")), "url", "left").na.fill(0, ["label", "mine"])
-    return marked.select("page_id", "url", "pages", "bad", "n", "label", "mine").mapInArrow(score, f"page_id {key}, url string, score double, keep boolean")
+    other = lambda name: F.when(F.col("fold") == 0, F.col(f"{name}1")).otherwise(F.col(f"{name}0")).alias(name)
+    joined = pages.join(stats, "suffix", "left").na.fill(0, numbers)
+    return joined.select("page_id", "url", "pages", other("bad"), other("n"), "fold").mapInArrow(score, f"page_id {key}, url string, score double, keep boolean")

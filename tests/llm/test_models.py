@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.llm import classifier as Q
 from sluice.llm import common as C
@@ -24,6 +25,65 @@ def test_em_finds_accuracies():
     assert not len(post)
 
 
+def test_em_equals_plain_loops():
+    rng = np.random.default_rng(9)
+    votes, counts = rng.integers(-1, 2, (12, 3)), rng.integers(1, 40, 12).astype(float)
+    guess = [[0.4, 0.55, 0.05], [0.4, 0.1, 0.5]]
+    theta, prior = [[list(c) for c in guess] for _ in range(3)], 0.15
+    for _ in range(7):
+        post = []
+        for v in votes:
+            good, bad = 1 - prior, prior
+            for k in range(3):
+                good, bad = good * theta[k][0][v[k] + 1], bad * theta[k][1][v[k] + 1]
+            post.append(bad / (good + bad))
+        for k in range(3):
+            for c in (0, 1):
+                n = [sum((p if c else 1 - p) * m for p, m, v in zip(post, counts, votes) if v[k] == x) + 0.5 * guess[c][x + 1] for x in (-1, 0, 1)]
+                theta[k][c] = [x / sum(n) for x in n]
+        prior = min(0.5, (sum(p * m for p, m in zip(post, counts)) + 0.15) / (counts.sum() + 1))
+    got, _, share = Q.em(votes, counts, rounds=7)
+    assert np.allclose(got, post) and np.isclose(share, prior)
+
+
+def test_linear_scorer_equals_plain_ftrl():
+    rng = np.random.default_rng(2)
+    rows = [np.unique(rng.integers(0, 40, 6)).astype(np.int32) for _ in range(30)]
+    target = rng.random(30)
+    alpha, l1, l2, size = 0.3, 0.05, 1.0, 1 << Q.BITS
+    z, s, w = {}, {}, {}
+    mixed = np.random.default_rng(7)
+    for _ in range(3):
+        order = mixed.permutation(30)
+        for i in range(0, 30, 8):
+            g = {}
+            for d in order[i : i + 8]:
+                own = [*rows[d].tolist(), size]
+                p = 1 / (1 + np.exp(-sum(w.get(f, 0) for f in own)))
+                for f in own:
+                    g[f] = g.get(f, 0) + p - target[d]
+            for f, x in g.items():
+                sigma = (np.sqrt(s.get(f, 0) + x * x) - np.sqrt(s.get(f, 0))) / alpha
+                z[f] = z.get(f, 0) + x - sigma * w.get(f, 0)
+                s[f] = s.get(f, 0) + x * x
+                pen = 0 if f == size else l1
+                w[f] = 0 if abs(z[f]) <= pen else -(z[f] - np.sign(z[f]) * pen) / ((1 + np.sqrt(s[f])) / alpha + l2)
+    got = Q.fit_linear(rows, target, epochs=3, batch=8, alpha=alpha, l1=l1, l2=l2)
+    assert np.allclose(got[[*range(40), size]], [w.get(f, 0) for f in [*range(40), size]]) and np.count_nonzero(got) <= 41
+
+
+def test_stage_keeps_odd_rows(spark):
+    docs, labels = quality_rows(5, 60)
+    rows = [*docs, (None, "a b c"), (300, None), (301, ""), (302, "long word " * 40_000), (2, docs[2][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as gone", "2 as c0", "3 as `a.b`", "4 as toxic")
+    lab = spark.createDataFrame([*labels, (300, None, None)], "doc_id long, quality int, toxic int").selectExpr("*", "1 as text")
+    kept, scores = Q.accepted(df, lab), Q.scored(df, lab).collect()
+    bad = {r.doc_id for r in scores if not r.keep and r.doc_id is not None}
+    assert kept.columns == df.columns and len(scores) == len(rows) and bad
+    assert sorted((str(r[0]), str(r[1])) for r in kept.collect()) == sorted((str(d), str(t)) for d, t in rows if d not in bad)
+    assert Q.accepted(df.limit(0), lab).count() == 0
+
+
 def quality_rows(seed, n=500):
     rng = random.Random(seed)
     vocab = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(400)]
@@ -92,7 +152,62 @@ def test_url_filter_edges(spark):
     got = [(r.page_id, r.score, r.keep) for r in U.filtered(pages, none).collect()]
     assert len(got) == 7 and all((s is None and not k) == (i in (1, 2)) for i, s, k in got)
     assert U.filtered(pages.limit(0), none).count() == 0
-    assert U.split_url("HTTP://u@Host.COM:80/P?q=1#f") == ("http", "host.com", "/P", "q=1", "f") and U.suffix("a.b.co.uk/x") == "co.uk" and U.entropy("aabb") == 1.0
+    assert U.split_url("HTTP://u@Host.COM:80/P?q=1#f") == ("http", "host.com", "/P", "q=1", "f") and U.entropy("aabb") == 1.0
+    odd = ["a.b.co.uk/x", "http://u@x.Example.com:8080/p", "http://10.0.0.1/", "localhost", "https://www.q.org?x", "//", "http://m.a-b.net#f"]
+    df = U.placed(spark.createDataFrame([(u,) for u in odd], "url string"))
+    assert [r.suffix for r in df.collect()] == [U.suffix(u) for u in odd] and [U.suffix(u) for u in odd][:5] == ["co.uk", "com", "ip", "localhost", "org"]
+    hosts = spark.createDataFrame([("http://www.cheap-pills.com/a",), ("m.cheap-pills.com",), ("https://pillsbury.com",), ("http://x.org/casino",), (None,)], "url string")
+    got = U.placed(hosts).select("fold", U.blocked(F.col("url")).alias("b")).collect()
+    assert [r.b for r in got] == [1, 1, 0, 0, None] and got[0].fold == got[1].fold
+
+
+def test_no_url_is_scored_by_labels_of_its_host(spark):
+    rows = urls(4, 400)
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labelled = spark.createDataFrame([(u, y) for _, u, y in rows], "url string, label int")
+    fold = {r.page_id: r.fold for r in U.placed(pages).collect()}
+    turned = spark.createDataFrame([(u, 1 - y if fold[i] == 0 else y) for i, u, y in rows], "url string, label int")
+    a, b = ({r.page_id: r.score for r in U.filtered(pages, x).collect()} for x in (labelled, turned))
+    assert all(abs(a[i] - b[i]) < 1e-12 for i in fold if fold[i] == 0) and all(abs(a[i] - b[i]) > 0.5 for i in fold if fold[i] == 1)
+
+
+def plain_trees(x, y, trees, depth):
+    """Raw scores of the same boosting, one split at a time by trying all."""
+    edges = [np.unique(np.quantile(x[:, i], np.linspace(0, 1, U.BINS + 1)[1:-1])) for i in range(x.shape[1])]
+    binned = np.array([[sum(v > e for e in edges[i]) for i, v in enumerate(r)] for r in x])
+    rate = (y.sum() + 0.5) / (len(y) + 1)
+    raw = np.full(len(y), np.log(rate / (1 - rate)))
+
+    def grow(own, g, h, d, out):
+        best = (1e-6, None)
+        part = lambda s: g[s].sum() ** 2 / (h[s].sum() + U.L2)
+        if d and len(own) >= 2 * U.LEAF:
+            for f in range(x.shape[1]):
+                for c in range(U.BINS):
+                    low = own[binned[own, f] <= c]
+                    high = own[binned[own, f] > c]
+                    if len(low) >= U.LEAF and len(high) >= U.LEAF and (gain := part(low) + part(high) - part(own)) > best[0] + 1e-12:
+                        best = (gain, (low, high))
+        if best[1]:
+            for s in best[1]:
+                grow(s, g, h, d - 1, out)
+        else:
+            out[own] = -U.RATE * g[own].sum() / (h[own].sum() + U.L2)
+
+    for _ in range(trees):
+        p, out = 1 / (1 + np.exp(-raw)), np.zeros(len(y))
+        grow(np.arange(len(y)), p - y, p * (1 - p), depth, out)
+        raw = raw + out
+    return raw
+
+
+def test_trees_equal_plain_ones(monkeypatch):
+    monkeypatch.setattr(U, "TREES", 5)
+    monkeypatch.setattr(U, "DEPTH", 2)
+    rng = np.random.default_rng(3)
+    x = np.round(rng.random((90, 3)), 2)
+    y = ((x[:, 0] > 0.4) & (x[:, 1] < 0.7) ^ (rng.random(90) < 0.1)).astype(float)
+    assert np.allclose(U.fit(x, y).raw(x), plain_trees(x, y, 5, 2), atol=1e-9)
 
 
 def test_trees_learn_what_no_single_cut_can():
@@ -169,7 +284,7 @@ def brute_score(m, ids, voc):
         own = [0 if j == 0 else int(voc.rank[ids[j - 1]]) + 1 for j in range(w * step, i + 1)]
         x = m["emb"][own] + m["pos"][: len(own)]
         q, k, v = (x @ m["qkv"][:, n * L.WIDTH : (n + 1) * L.WIDTH] for n in range(3))
-        a = np.exp(np.clip(k @ q[-1] / np.sqrt(L.WIDTH), -30, 30))
+        a = np.exp(np.clip(k @ q[-1] / np.sqrt(L.WIDTH), -L.MOST, L.MOST))
         h = np.append(x[-1] + (a / a.sum()) @ v @ m["o"], 1)
         rank = int(voc.rank[ids[i]])
         band = int(voc.band[rank])
