@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from . import common as C
 SHARDS = 64
 #: Documents with ids next to each other that a query's atomic group holds at most, by source.
 SPAN = 256
-#: Most groups whose running totals (8 bytes each) the driver holds; beyond it they are read in blocks for each round.
+#: Most running totals (8 bytes each) that the driver holds; of more groups it holds so many and reads what lies between.
 HELD = 20_000_000
 #: Capacities that one reading of the totals tries where they aren't held.
 AT_ONCE = 64
@@ -47,7 +48,7 @@ def least_capacity(feasible: Callable[[list[int]], list[bool]], low: int, high:
 
 
 def _running(sized: DataFrame, order: list[str]) -> DataFrame:
-    """sized in order with ``part``, and ``upto`` (total of sizes up to the row), by range partitions and their offsets."""
+    """sized in order with ``part``, ``nth`` in it and ``upto`` (total of sizes up to the row), by range partitions and their offsets."""
     ranged = C.cut(sized.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
     parts = ranged.groupBy("part").agg(F.sum("size").alias("s")).orderBy("part").collect()  # a row a partition
     before, total = {}, 0
@@ -56,8 +57,38 @@ def _running(sized: DataFrame, order: list[str]) -> DataFrame:
         total += r.s
     spark = sized.sparkSession
     offs = spark.createDataFrame([(int(k), int(v)) for k, v in before.items()], "part int, off long")
-    own = F.sum("size").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return ranged.join(F.broadcast(offs), "part").withColumn("upto", F.col("off") + own)
+    own = Window.partitionBy("part").orderBy(*order)
+    sums = ranged.join(F.broadcast(offs), "part").withColumn("upto", F.col("off") + F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    return sums.withColumn("nth", F.row_number().over(own))
+
+
+class Totals:
+    """Running totals too many for the driver, which holds every so many-th of them and reads the stretches between them that cuts fall in."""
+
+    def __init__(self, run: DataFrame, n: int, total: int, held: int):
+        self.run, self.total, self.stretches = run.select("upto"), total, {}
+        stride = -(-n // max(held, 16))
+        some = run.where(F.pmod("nth", F.lit(stride)) == 0).select("upto").distinct().toPandas()["upto"].to_numpy(np.int64)
+        self.marks = np.unique(np.append(some, total))
+
+    def below(self, most: list[int]) -> list[int]:
+        """The largest total up to each of these, 0 if there is none."""
+        at = np.minimum(np.searchsorted(self.marks, most), len(self.marks) - 1).tolist()
+        ends = {k: (int(self.marks[k - 1]) if k else 0, int(self.marks[k])) for k in at}
+        if new := [k for k in ends if k not in self.stretches]:
+            inside = reduce(lambda a, b: a | b, [F.col("upto").between(ends[k][0] + 1, ends[k][1]) for k in new])
+            got = self.run.where(inside).distinct().toPandas()["upto"].to_numpy(np.int64)  # a stretch each
+            for k in new:
+                self.stretches[k] = np.unique(np.concatenate([got[(got > ends[k][0]) & (got <= ends[k][1])], [ends[k][0]]]))
+        return [int(self.stretches[k][np.searchsorted(self.stretches[k], x, side="right") - 1]) for k, x in zip(at, most, strict=True)]
+
+    def cuts(self, capacities: list[int], shards: int) -> list[list[int]]:
+        """Totals at which greedy filling cuts, for each capacity (none below a single size); it ends beyond ``shards`` of them."""
+        out = [[] for _ in capacities]
+        while open_ := [i for i, x in enumerate(out) if len(x) <= shards and (x[-1] if x else 0) < self.total]:
+            for i, cut in zip(open_, self.below([(out[i][-1] if out[i] else 0) + capacities[i] for i in open_]), strict=True):
+                out[i].append(cut)
+        return [x or [0] for x in out]
 
 
 def partition(groups: DataFrame, order: list[str], shards: int = SHARDS, held: int = HELD) -> tuple[DataFrame, int]:
@@ -85,23 +116,9 @@ def partition(groups: DataFrame, order: list[str], shards: int = SHARDS, held: i
             cuts.append(base)
             at = nxt
     else:
-
-        def read(capacities: list[int]) -> tuple[np.ndarray, list[list[int]]]:
-            base, last, used = np.zeros(len(capacities), np.int64), 0, np.ones(len(capacities), np.int64)
-            caps, seen = np.array(capacities), [[] for _ in capacities]
-            for r in ordered.toLocalIterator(prefetchPartitions=True):
-                over = r.upto - base > caps
-                if over.any():
-                    for i in np.flatnonzero(over) if len(capacities) == 1 else ():
-                        seen[i].append(last)
-                    base[over], used[over] = last, used[over] + 1
-                last = r.upto
-            for x in seen:
-                x.append(last)
-            return used, seen
-
-        capacity = least_capacity(lambda cs: (read(cs)[0] <= shards).tolist(), low, high, AT_ONCE)
-        cuts = read([capacity])[1][0]
+        totals = Totals(run, stats.n, int(stats.total), held)
+        capacity = least_capacity(lambda cs: [len(x) <= shards for x in totals.cuts(cs, shards)], low, high, AT_ONCE)
+        cuts = totals.cuts([capacity], shards)[0]
     # groups of size 0 at a cut share its total and stay with the groups before it
     bounds = F.array(*(F.lit(int(c)).cast("long") for c in cuts))
     shard = F.size(F.filter(bounds, lambda c: c < F.col("upto")))
