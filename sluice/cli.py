@@ -1,4 +1,7 @@
-"""Command line: python -m sluice <command> …; results are JSON or KEY=VALUE lines on standard output."""
+"""Command line: python -m sluice <command> …; results are JSON or KEY=VALUE lines on standard output.
+
+Exit codes: 0 done, 2 a configuration or corpus that can't be used, 3 ``doctor`` found problems, 4 a run that is partial or interrupted.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +9,12 @@ import argparse
 import json
 import os
 import sys
+import time
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from .functions.durable import written
 from .operators import audit, eligibility, ledger, planning, unchunk
 from .plans import config, engine, registry
 from .sources import readers, sinks
@@ -116,9 +121,12 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--chunk", **two, default=[8000, 400])
         for flag in ("--filter", "--param", "--split"):
             c.add_argument(flag, action="append", default=[], metavar="KEY=VALUE")
-    for name in ("resume", "status", "export", "audit-sample", "audit-score", "inspect"):
+    sub.add_parser("validate").add_argument("config")
+    for name in ("resume", "status", "checkpoint", "export", "audit-sample", "audit-score", "inspect"):
         c = sub.add_parser(name)
         c.add_argument("out")
+        if name == "status":
+            c.add_argument("--watch", type=float, metavar="SECONDS")
         c.add_argument("--size", type=int, default=300)
         c.add_argument("--seed", type=int, default=42)
         c.add_argument("--limit", type=int, default=20)
@@ -137,8 +145,24 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def _ended(out: dict) -> int:
+    """Print a run's report; the exit code is 0 if it reached its target and 4 if it is partial or interrupted."""
+    print(json.dumps(out, default=str))
+    return 0 if out["status"] == "completed" else 4
+
+
 def doctor(spark: SparkSession) -> dict:
-    return {"python": sys.version.split()[0], "spark": spark.version, "cores": spark.sparkContext.defaultParallelism, "shared_folder": spark.conf.get("spark.checkpoint.dir", None), "plugins": {k: registry.names(k) for k in registry.KINDS}}
+    """What is there, and ``problems`` that a run would have."""
+    problems = []
+    try:
+        written(spark.range(1))
+    except Exception as e:  # whatever the storage raises
+        problems.append(f"shared folder: {e}")
+    try:
+        spark.range(1).mapInArrow(lambda batches: batches, "id long").collect()
+    except Exception as e:  # a worker without pyarrow, or of another version
+        problems.append(f"Python workers: {e}")
+    return {"problems": problems, "python": sys.version.split()[0], "spark": spark.version, "cores": spark.sparkContext.defaultParallelism, "shared_folder": spark.conf.get("spark.checkpoint.dir", None), "plugins": {k: registry.names(k) for k in registry.KINDS}}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -156,11 +180,22 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         elif a.command in ("plan", "run"):
             project = config.load(a.config) if a.config else _direct(a)
             facts = engine.make_plan(spark, project, a.out)
-            print(json.dumps(facts if a.command == "plan" else engine.execute(spark, a.out), default=str))
+            return _ended(engine.execute(spark, a.out)) if a.command == "run" else print(json.dumps(facts, default=str)) or 0
         elif a.command == "resume":
-            print(json.dumps(engine.execute(spark, a.out), default=str))
+            return _ended(engine.execute(spark, a.out))
+        elif a.command == "validate":
+            project = config.load(a.config)
+            for kind, name in (("sources", project.source.plugin), ("backends", project.generation.backend)):
+                registry.find(kind, name)
+            print(json.dumps({"valid": True, "name": project.name, "config_hash": project.hash}))
         elif a.command == "status":
-            print(json.dumps(status(spark, a.out)))
+            while True:
+                print(json.dumps(status(spark, a.out)), flush=True)
+                if not a.watch or engine.finished(a.out):
+                    break
+                time.sleep(a.watch)
+        elif a.command == "checkpoint":
+            print(json.dumps({"items": engine.save(spark, a.out)}))
         elif a.command == "export":
             print(engine.exports(spark, a.out))
         elif a.command == "inspect":
@@ -182,7 +217,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         elif a.command == "unchunk":
             print(json.dumps(rebuild(spark, a)))
         elif a.command == "doctor":
-            print(json.dumps(doctor(spark), indent=2))
+            found = doctor(spark)
+            print(json.dumps(found, indent=2))
+            return 3 if found["problems"] else 0
     except (ValueError, NotImplementedError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 2

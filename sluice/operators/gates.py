@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,11 +109,28 @@ def first_wins(rows: DataFrame, prior: DataFrame | None = None) -> DataFrame:
     return out.join(known, "fingerprint", "left").withColumn("duplicate", F.col("duplicate") | F.coalesce("__known", F.lit(False))).drop("__known")
 
 
+def winners(rows: DataFrame) -> DataFrame:
+    """Of rows(slot_id, fingerprint, __at) in the order of __at, those whose slot and fingerprint no winner before them has.
+
+    A row that comes first for its slot and for its fingerprint wins whatever the others do. A round takes all such rows
+    and drops what shares a slot or fingerprint with them, so a batch takes as many rounds as its longest chain of rows that
+    wait for each other, and none gathers rows in one task.
+    """
+    left, out = written(rows), None
+    while not left.isEmpty():
+        slot = left.groupBy("slot_id").agg(F.min("__at").alias("__s"))
+        print_ = left.groupBy("fingerprint").agg(F.min("__at").alias("__f"))
+        won = written(left.join(slot, "slot_id").join(print_, "fingerprint").where((F.col("__at") == F.col("__s")) & (F.col("__at") == F.col("__f"))).select(*rows.columns))
+        out = won if out is None else out.union(won)
+        left = written(left.join(won.select("slot_id"), "slot_id", "left_anti").join(won.select("fingerprint"), "fingerprint", "left_anti"))
+    return left if out is None else out
+
+
 def evaluate(candidates: DataFrame, docs: DataFrame, accepted_slots: DataFrame | None = None, prior: DataFrame | None = None) -> DataFrame:
     """A batch's evaluations: candidates of slots that are accepted (before, or earlier in the batch) get verdict "superseded".
 
     A superseded candidate isn't checked and claims no fingerprint. A batch of one candidate a slot, as the scheduler makes
-    them, is evaluated in parallel; one with several, whose order decides what the next may do, in one sequence.
+    them, needs one pass; in one with several, what wins depends on what won before, see :func:`winners`.
     """
     batch = written(checked(candidates, docs))
     late = batch.limit(0)
@@ -125,23 +141,15 @@ def evaluate(candidates: DataFrame, docs: DataFrame, accepted_slots: DataFrame |
         judged = verdicts(first_wins(batch, prior), F.col("duplicate")).drop("duplicate")
     else:
         known = batch.limit(0).select("fingerprint") if prior is None else prior.select("fingerprint").distinct()
-        marked = batch.join(known.withColumn("__known", F.lit(True)), "fingerprint", "left").withColumn("__sound", _sound())
-        narrow = marked.select("id", "slot_id", "ordinal", "attempt", "fingerprint", F.coalesce("__known", F.lit(False)).alias("known"), F.col("__sound").alias("sound"), F.lit(0).alias("all"))
-
-        def walk(rows: pd.DataFrame) -> pd.DataFrame:
-            slots, seen, out = set(), set(), []
-            for r in rows.sort_values(["ordinal", "attempt"], kind="stable").itertuples():
-                gone = r.slot_id in slots
-                again = not gone and (r.known or r.fingerprint in seen)
-                if not gone and r.sound and not again:
-                    slots.add(r.slot_id)
-                    seen.add(r.fingerprint)
-                out.append((r.id, gone, again))
-            return pd.DataFrame(out, columns=["id", "gone", "duplicate"])
-
-        order = written(narrow.groupBy("all").applyInPandas(walk, "id string, gone boolean, duplicate boolean"))
-        batch = batch.join(order, "id")
-        late = late.unionByName(batch.where("gone").drop("gone", "duplicate"))
-        judged = verdicts(batch.where("not gone").drop("gone"), F.col("duplicate")).drop("duplicate")
+        marked = batch.join(known.withColumn("__known", F.lit(True)), "fingerprint", "left").withColumn("__at", F.struct("ordinal", "attempt", "id"))
+        marked = written(marked.withColumn("__known", F.coalesce("__known", F.lit(False))))
+        won = winners(marked.where(_sound() & ~F.col("__known")).select("slot_id", "fingerprint", "__at"))
+        by_slot = won.select("slot_id", F.col("__at").alias("__slot"))
+        by_print = won.select("fingerprint", F.col("__at").alias("__print"))
+        seen = marked.join(by_slot, "slot_id", "left").join(by_print, "fingerprint", "left")
+        seen = seen.withColumn("__gone", F.coalesce(F.col("__slot") < F.col("__at"), F.lit(False))).withColumn("duplicate", F.col("__known") | F.coalesce(F.col("__print") < F.col("__at"), F.lit(False)))
+        seen = seen.drop("__slot", "__print", "__at", "__known")
+        late = late.unionByName(seen.where("__gone").drop("__gone", "duplicate"))
+        judged = verdicts(seen.where("not __gone").drop("__gone"), F.col("duplicate")).drop("duplicate")
     gone = verdicts(late, F.lit(False)).withColumns({"verdict": F.lit("superseded"), "issues": F.array().cast("array<string>"), "overall_score": F.lit(None).cast("double")})
     return judged.unionByName(gone)

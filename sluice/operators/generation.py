@@ -19,10 +19,6 @@ SYSTEM = (
     "Every fact must come from the passage. Use the requested language throughout. The instruction has to make sense to a reader who never sees the passage, "
     "so don't point to it in any words or language. Leave out your reasoning. Offsets of evidence count characters within the named section."
 )
-JUDGE_SYSTEM = (
-    "Judge one training example by the evidence supplied and answer in JSON only. Reject claims without support, vague instructions, trivial tasks, "
-    "malformed outputs and examples that point to a source the reader can't see."
-)
 #: Guidance by task.
 TASKS = {
     "definition": "Ask for an exact definition that rests on the passage alone.",
@@ -46,6 +42,14 @@ RISKS = ("low", "medium", "high")
 MARGIN = 128
 EVIDENCE = "array<struct<document_id:string,section_id:string,start:int,end:int,quote:string>>"
 PAYLOAD = "struct<instruction:string,input:string,output:string,risk:string,difficulty:string,evidence:array<struct<section_id:string,start:string,end:string,quote:string>>>"
+#: What a model is asked to answer in, where its server can hold it to a schema.
+_STRING = {"type": "string"}
+_WHERE = {"type": "object", "properties": {"section_id": _STRING, "start": {"type": "integer", "minimum": 0}, "end": {"type": "integer", "minimum": 1}, "quote": _STRING}, "required": ["section_id", "start", "end"]}
+SCHEMA = {
+    "type": "object",
+    "properties": {"instruction": _STRING, "input": _STRING, "output": _STRING, "risk": _STRING | {"enum": list(RISKS)}, "difficulty": _STRING | {"enum": list(DIFFICULTIES)}, "evidence": {"type": "array", "items": _WHERE}},
+    "required": ["instruction", "output", "evidence"],
+}
 Counter = Callable[[Sequence[str]], list[int]]
 
 
@@ -169,9 +173,9 @@ class HttpBackend(Backend):
 
     name = "openai_compatible"
 
-    def __init__(self, url: str, model: str, key_env: str | None = None, timeout: float = 120.0, schema: dict | None = None, **kw):
+    def __init__(self, url: str, model: str, key_env: str | None = None, timeout: float = 120.0, schema: dict | None = SCHEMA, temperature: float = 0.1, **kw):
         super().__init__(model, **kw)
-        self.url, self.key_env, self.timeout, self.schema = url.rstrip("/"), key_env, timeout, schema
+        self.url, self.key_env, self.timeout, self.schema, self.temperature = url.rstrip("/"), key_env, timeout, schema, temperature
 
     def _post(self, body: dict) -> dict:
         import os
@@ -185,7 +189,7 @@ class HttpBackend(Backend):
     def answer(self, request: dict) -> tuple[str, int | None, int | None]:
         from urllib.error import HTTPError
 
-        body = {"model": self.model, "messages": [dict(m) for m in request["messages"]], "seed": request["seed"], "max_tokens": request["max_output_tokens"]}
+        body = {"model": self.model, "messages": [dict(m) for m in request["messages"]], "seed": request["seed"], "max_tokens": request["max_output_tokens"], "temperature": self.temperature}
         wanted = {"response_format": {"type": "json_schema", "json_schema": {"name": "candidate", "schema": self.schema}}} if self.schema else {}
         try:
             got = self._post(body | wanted)

@@ -66,12 +66,13 @@ def make_plan(spark: SparkSession, project: Project, path: str) -> dict:
     g, t = project.generation, project.target
     planning.assert_unique(docs)
     chunks = written(chunking.chunked(take, g.chunk_size, g.chunk_overlap))
-    index = written(chunking.corpus_index(chunks, project.selection.strata, g.chunk_size, g.chunk_overlap))
+    index = written(chunking.corpus_index(chunks, project.selection.strata, ready=True))
     slots, role = planning.plan(
         index, seed=project.selection.seed, target=t.examples, tasks=planning.quotas(t.examples, project.tasks.counts, project.tasks.weights),
         difficulties=planning.quotas(t.examples, project.difficulties.counts, project.difficulties.weights), count=project.selection.count,
         fraction=project.selection.fraction, minimum=t.minimum, maximum=t.maximum, reserve_fraction=t.reserve_fraction,
     )
+    planning.assert_found(role, chunks)
     sinks.snapshot(chunks.join(role.select("id", "role"), "id"), f"{path}/documents")
     index.write.mode("overwrite").parquet(f"{path}/index")
     ledger.Ledger(spark, f"{path}/ledger").append("slots", slots, 0)
@@ -89,27 +90,26 @@ def load_project(path: str) -> Project:
 def reassigned(jobs: DataFrame, docs: DataFrame, loads: DataFrame | None, *, seed: int, same: int, maximum: int) -> DataFrame:
     """jobs with the document of each attempt: after ``same`` attempts a reserve document with room, the slot's own if there is none.
 
-    A search starts at a seeded place of the reserve and goes on until it finds room, and each find takes up room for
-    the next, so the retries of a batch, which the scheduler bounds, are decided in order; all other jobs stay as they are.
+    A search starts at a seeded place of the reserve, in the order of the source, and goes on until it finds room, and each
+    find takes up room for the next, so the retries of a batch, which the scheduler bounds, are decided in order; all other
+    jobs stay as they are.
     """
     if not (late := jobs.where(F.col("attempt") > same).orderBy("ordinal").select("id", "attempt", "document_id").collect()):
         return jobs
     spark = jobs.sparkSession
     from ..operators.ranking import ranked
 
-    reserve = written(ranked(docs.where("role = 'reserve'").select("id"), [], ["id"], "place").withColumn("place", F.col("place") - 1))
+    placed = F.col("metadata.raw_index") if "metadata" in docs.columns and "raw_index" in docs.schema["metadata"].dataType.fieldNames() else F.lit(0)
+    reserve = written(ranked(docs.where("role = 'reserve'").select("id", placed.alias("at")), [], ["at", "id"], "place").select("id", (F.col("place") - 1).alias("place")))
     if not (n := reserve.count()):
         return jobs
     full = {} if loads is None else {r.place: r.n for r in reserve.join(loads.withColumnRenamed("document_id", "id"), "id").select("place", "n").collect()}
     starts = {(r.slot, r.attempt): r.at for r in spark.createDataFrame([(r.id, r.attempt) for r in late], "slot string, attempt int").withColumn("at", remainder(seed, n, F.col("slot"), F.col("attempt"))).collect()}
     picked: list[tuple[str, int]] = []
-    own_load: dict[str, int] = {}
     for r in late:
         at = starts[r.id, r.attempt]
         place = next(((at + i) % n for i in range(n) if full.get((at + i) % n, 0) < maximum), None)
-        if place is None:
-            own_load[r.document_id] = own_load.get(r.document_id, 0) + 1
-        else:
+        if place is not None:
             full[place] = full.get(place, 0) + 1
             picked.append((r.id, place))
     if not picked:
@@ -203,6 +203,25 @@ def _save(book: ledger.Ledger, path: str, project: Project, number: int) -> None
     sinks.checkpoint(accepted_candidates(book), f"{path}/checkpoints", project.output.formats, number, rows=project.output.shard_rows)
 
 
+def save(spark: SparkSession, path: str) -> int:
+    """Write the checkpoint shards that accepted candidates of a run lack; how many items that were."""
+    book, project = ledger.Ledger(spark, f"{path}/ledger"), load_project(path)
+    with locked(path):
+        number = book.table("attempts").agg(F.max("round")).first()[0] or 0
+        items = ledger.Ledger(spark, f"{path}/checkpoints").table("items")
+        last = 0 if items is None else items.agg(F.max("round")).first()[0] or 0
+        return sinks.checkpoint(accepted_candidates(book), f"{path}/checkpoints", project.output.formats, max(number, last + 1), rows=project.output.shard_rows).count()
+
+
+def finished(path: str) -> bool:
+    """Has the last run of this plan ended?"""
+    try:
+        with open(f"{path}/progress.json", encoding="utf-8") as f:
+            return json.load(f)["phase"] == "finished"
+    except FileNotFoundError:
+        return False
+
+
 def accepted_candidates(book: ledger.Ledger) -> DataFrame:
     done = book.table("evaluations").where("verdict = 'accept'").select("id")
     return book.table("attempts").join(done, "id", "left_semi").drop("round")

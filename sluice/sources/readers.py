@@ -23,13 +23,16 @@ class SourceError(ValueError):
 def read_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Rows of JSON lines. Blank lines are skipped; a line that isn't a JSON object is an error with its file and number."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where(~T.blank(F.col("value")))
-    parsed = F.to_json(F.try_parse_json("value"))
-    for bad in lines.where(parsed.isNull() | ~parsed.startswith("{")).limit(1).collect():
+    # the scan for a schema parses every line, so that only a look at what lines begin with is left to do
+    found = None if schema else spark.read.json(path)
+    wrong = ~T.strip(F.col("value")).startswith("{")
+    if found is None or "_corrupt_record" in found.columns:
+        wrong = wrong | F.try_parse_json("value").isNull()
+    for bad in lines.where(wrong).limit(1).collect():
         # only now is the file read in order, to number the line
         at = next(i for i, r in enumerate(spark.read.text(bad.file).toLocalIterator(), 1) if r.value == bad.value)
         raise SourceError(f"{bad.file}:{at}: not a JSON object")
-    reader = spark.read.option("mode", "FAILFAST")
-    return (reader.schema(schema) if schema else reader).json(path)
+    return spark.read.option("mode", "FAILFAST").schema(schema or found.schema).json(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

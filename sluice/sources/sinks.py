@@ -22,9 +22,11 @@ def snapshot(docs: DataFrame, path: str, rows: int = SNAPSHOT_ROWS) -> DataFrame
 
 
 def load_snapshot(spark, path: str) -> DataFrame:
-    """A snapshot in Parquet or, from older runs, in JSON lines; of a repeated id one row."""
+    """A snapshot in Parquet or, from older runs, in JSON lines; of a repeated id the last row."""
     kind = "json" if path.endswith((".jsonl", ".json")) else "parquet"
-    return getattr(spark.read, kind)(path).dropDuplicates(["id"])
+    rows = getattr(spark.read, kind)(path)
+    placed = rows.select("id", F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("__row"), F.monotonically_increasing_id().alias("__at"))
+    return placed.groupBy("id").agg(F.max_by("__row", "__at").alias("__row")).select("__row.*")
 
 
 def checkpoint(accepted: DataFrame, path: str, formats: list[str], round_: int, split: str = "train", rows: int = SHARD_ROWS) -> DataFrame:
