@@ -19,8 +19,8 @@ VOCAB = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 BROADCAST_IDS = 2_000_000
 #: Rows of one key from which a join takes care of it by itself.
 HOT = 100_000
-#: Characters of text that one vectorised step takes at once.
-STEP_CHARS = 1 << 20
+#: Characters of text that one vectorised step takes at once; its arrays fit a core's cache.
+STEP_CHARS = 1 << 17
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,19 +28,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); one of our own only where none is set, as in tests."""
+    """The cluster's shared folder (spark.checkpoint.dir); one of our own only where none is set and Spark runs in this process, as in tests."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="sluice-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write df as a table in the shared folder and read it again: later work doesn't depend on executors that may go."""
+    """Write df as a table in the shared folder and read it again: later work doesn't depend on executors that may go.
+
+    The table is deleted when the driver's JVM ends.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/sluice-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(file)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -175,6 +182,10 @@ def list_column(parts: list[np.ndarray], dtype) -> object:
 #: The vocabulary's own split, by way of ``re``; equal to it on texts that _UNUSUAL doesn't match.
 _USUAL = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 _UNUSUAL = re.compile("[^\t\n\r -~¡«¬»¿À-ɏ–—‘’“”„…€]")
+#: Of bytes that begin a character of usual texts: 0 end of text, 1 white space, 2 letter, 3 digit, 4 other; 9 within one.
+_KIND = np.full(256, 4, np.uint8)
+_KIND[0], _KIND[[9, 10, 13, 32]], _KIND[48:58], _KIND[65:91], _KIND[97:123], _KIND[0xC3:0xCA], _KIND[0x80:0xC0] = 0, 1, 3, 2, 2, 2, 9
+_ENDS1 = np.isin(np.arange(256), np.frombuffer(b"sdmt", np.uint8))
 _EXACT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -184,7 +195,7 @@ class Encoder(dict):
     A piece's ids don't depend on its neighbours, so remembering them changes nothing but the time.
     """
 
-    KEEP = 200_000
+    KEEP = 300_000
 
     def __init__(self, path: str = VOCAB):
         import tiktoken
@@ -196,6 +207,7 @@ class Encoder(dict):
         self._code = "H" if self.size <= 1 << 16 else "I"
         self._whole = tiktoken.Encoding("own", pat_str=_EXACT, mergeable_ranks=ranks, special_tokens={})
         self._piece = self._whole._core_bpe.encode_single_piece
+        self.by_key: dict[int, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.KEEP:
@@ -213,6 +225,67 @@ class Encoder(dict):
     def ids(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.raw(text), self.dtype)
 
+    def many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text, as :meth:`ids` has them; usual texts are split and put together some hundred thousand characters at a time."""
+        out = [np.zeros(0, self.dtype)] * len(texts)
+        usual = []
+        for i, t in enumerate(texts):
+            if t:
+                if _UNUSUAL.search(t) or "\xd7" in t or "\xf7" in t:
+                    out[i] = self.ids(t)
+                else:
+                    usual.append(i)
+        for i, j in steps([texts[k] for k in usual], 4 * STEP_CHARS):
+            for k, ids in zip(usual[i:j], self._together([texts[k].encode() for k in usual[i:j]]), strict=True):
+                out[k] = ids
+        return out
+
+    def _together(self, raw: list[bytes]) -> list[np.ndarray]:
+        a = np.frombuffer(b"\0".join(raw) + b"\0", np.uint8)
+        kind = _KIND[a]
+        rest = np.flatnonzero(kind == 9)  # bytes within a character are what its first is
+        for _ in range(2):
+            kind[rest] = kind[rest - 1]
+        begin = np.ones(len(a) + 1, bool)
+        begin[1:-1] = kind[1:] != kind[:-1]
+        run = np.flatnonzero(begin)
+        start, end = run[:-1], run[1:]
+        # the last white space before something goes with it if it is a blank, and by itself if it isn't
+        space = np.flatnonzero((kind[start] == 1) & (kind[np.minimum(end, len(a) - 1)] != 0))
+        last = end[space] - 1
+        begin[last] = True
+        begin[end[space][a[last] == 32]] = False
+        # a quote that begins a piece takes s, d, m, t, ll, ve or re with it
+        quote = np.flatnonzero((a[:-2] == 39) & begin[:-3] & begin[1:-2] & (kind[1:-1] == 2)) if len(a) > 2 else np.zeros(0, np.int64)
+        if len(quote):
+            one, two = a[quote + 1], a[quote + 2]
+            taken = np.where(_ENDS1[one], 1, np.where(((one == 108) & (two == 108)) | (((one == 118) | (one == 114)) & (two == 101)), 2, 0))
+            quote, taken = quote[taken > 0], taken[taken > 0]
+            begin[quote + 1], begin[quote + 1 + taken] = False, True
+        at = np.flatnonzero(begin)
+        start, end = at[:-1], at[1:]
+        own = kind[start] != 0
+        start, end = start[own], end[own]
+        up, down = _powers(len(a) + 1)
+        total = np.zeros(len(a) + 1, np.uint64)
+        np.cumsum(BYTES[a] * up[: len(a)], out=total[1:])
+        key, first, which = np.unique(mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)), return_index=True, return_inverse=True)
+        if len(self.by_key) > self.KEEP:
+            self.by_key.clear()
+        known, found = self.by_key, []
+        for k, i in zip(key.tolist(), first.tolist(), strict=True):
+            ids = known.get(k)
+            if ids is None:
+                known[k] = ids = array(self._code, self._piece(a[start[i] : end[i]].tobytes())).tobytes()
+            found.append(ids)
+        size = np.array([len(x) for x in found], np.int64) // self.dtype.itemsize
+        flat, n = np.frombuffer(b"".join(found), self.dtype), size[which]
+        to = np.cumsum(n)
+        ids = flat[np.repeat((np.cumsum(size) - size)[which] - (to - n), n) + np.arange(to[-1])]
+        ends = np.cumsum([len(r) + 1 for r in raw])
+        cuts = to[np.searchsorted(start, ends) - 1]
+        return np.split(ids, cuts[:-1])
+
 
 _encoders: dict[str, Encoder] = {}
 

@@ -18,6 +18,8 @@ BANDS, BAND_IDS = 32, 256
 EPOCHS, ROUNDS = 1, 2
 #: Ids that one task trains on in a pass; models that are averaged at once; windows in a step; step size.
 GROUP_IDS, FAN, BATCH, RATE = 4_000_000, 64, 128, 0.2
+#: Least exponent in a softmax over ids, and largest of either sign in attention.
+FLOOR, MOST = np.float32(-20), np.float32(20)
 #: Bytes of parameters in a row that is averaged.
 CHUNK = 1 << 16
 
@@ -84,7 +86,7 @@ def attend(m: dict[str, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, ...]
     q, k, v = qkv[:, :, :WIDTH], qkv[:, :, WIDTH : 2 * WIDTH], qkv[:, :, 2 * WIDTH :]
     a = np.matmul(q, k.transpose(0, 2, 1))
     a *= _SCALE
-    np.clip(a, -30, 30, out=a)
+    np.clip(a, -MOST, MOST, out=a)
     np.exp(a, out=a)
     a *= _MASK
     a /= a.sum(axis=2, keepdims=True)
@@ -94,10 +96,17 @@ def attend(m: dict[str, np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, ...]
     return h, x, q, k, v, a, mid
 
 
-def _safe(z: np.ndarray, top: np.ndarray | None = None, each: np.ndarray | None = None) -> None:
-    """Take a row's largest value from it, where exp could leave the range of floats otherwise (rows that start at ``top``, ``each`` long)."""
-    if z.size and (z.max() > 80 or z.min() < -80):
-        z -= z.max(axis=1, keepdims=True) if top is None else np.repeat(np.maximum.reduceat(z, top), each)
+def _exponential(z: np.ndarray, top: np.ndarray, each: np.ndarray | int, own: np.ndarray) -> np.ndarray:
+    """z (rows from ``top`` on, ``each`` long) less its row's largest value, at ``own``; z becomes its exponential.
+
+    What is below e**FLOOR of a row's largest counts as that: sums don't notice, and products of it stay in the range in
+    which processors are fast (numbers near the least that a float holds slow them down many times).
+    """
+    z -= np.repeat(np.maximum.reduceat(z, top), each)
+    chosen = z[own]
+    np.maximum(z, FLOOR, out=z)
+    np.exp(z, out=z)
+    return chosen
 
 
 class Heads:
@@ -113,11 +122,10 @@ class Heads:
         self.h = np.ones((len(ranks), WIDTH + 1), h.dtype)
         self.h[:, :WIDTH] = h[self.order]
         self.outer = self.h @ m["out"]
-        _safe(self.outer)
-        self.rows = np.arange(len(ranks))
-        logs = self.outer[self.rows, bands]
-        np.exp(self.outer, out=self.outer)
-        self.total = self.outer.sum(axis=1)
+        wide = self.outer.shape[1]
+        self.target = np.arange(len(ranks)) * wide + bands
+        logs = _exponential(self.outer.ravel(), np.arange(0, self.outer.size, wide), wide, self.target) if len(ranks) else np.zeros(0, h.dtype)
+        self.total = self.outer @ np.ones(wide, h.dtype)
         logs -= np.log(self.total)
         size = (voc.hi - voc.lo)[bands]
         self.several = np.flatnonzero(size > 1)
@@ -136,19 +144,17 @@ class Heads:
                 np.matmul(self.h[i:j], m["inner"][lo:hi].T, out=self.inner[place:to].reshape(j - i, hi - lo))
                 place = to
         if len(self.size):
-            _safe(self.inner, self.top, self.size)
             self.chosen = self.top + ranks[self.several] - voc.lo[bands[self.several]]
-            got = self.inner[self.chosen]
-            np.exp(self.inner, out=self.inner)
+            got = _exponential(self.inner, self.top, self.size, self.chosen)
             self.within = np.add.reduceat(self.inner, self.top)
             logs[self.several] += got - np.log(self.within)
         self.logs = logs
 
     def backward(self) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, np.ndarray]]]:
         """Gradients of the mean negative log chance: of the states (in the order of rows), of ``out``, of ``inner`` by run of bands."""
-        z, n = self.outer, np.float32(1 / max(1, len(self.rows)))
+        z, n = self.outer, np.float32(1 / max(1, len(self.target)))
         z *= (n / self.total)[:, None]
-        z[self.rows, self.bands] -= n
+        z.ravel()[self.target] -= n
         dh = z @ self.m["out"].T
         out, runs = self.h.T @ z, []
         if self.parts:
@@ -319,8 +325,9 @@ def trained(coded: DataFrame, voc: Vocabulary, total: int, dtype, epochs: int, g
         return pa.table({"grp": pa.array([t["to"][0].as_py()], pa.int64()), "part": t["part"].slice(0, 1), "n": pa.array([n], pa.int64()), "raw": pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())})
 
     for seed in range(epochs * ROUNDS):
+        # more partitions than groups, so that few tasks get several
         now = spark.sparkContext.broadcast(flat)
-        models = placed.where(F.col("round") == seed % ROUNDS).groupBy("grp").applyInArrow(learner(now, seed), fields)
+        models = placed.where(F.col("round") == seed % ROUNDS).repartition(4 * groups, "grp").groupBy("grp").applyInArrow(learner(now, seed), fields)
         left = groups
         while left > 1:
             models = models.withColumn("to", F.expr(f"grp div {FAN}")).groupBy("to", "part").applyInArrow(average, fields)
@@ -348,7 +355,7 @@ def scored(docs: DataFrame, vocab: str = C.VOCAB, epochs: int = EPOCHS) -> DataF
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = C.encoder(vocab)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([enc.raw(t) for t in b.column(1).to_pylist()], pa.binary())], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in enc.many(b.column(1).to_pylist())], pa.binary())], ["doc_id", "ids"])
 
     texts = C.columns(docs, "doc_id", "text").withColumn("text", F.col("text").cast("string"))
     coded = C.cut(texts.mapInArrow(encode, f"doc_id {key}, ids binary").withColumn("h", F.xxhash64("doc_id", "ids")))

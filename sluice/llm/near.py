@@ -18,8 +18,8 @@ SHINGLE, THRESHOLD, BANDS, ROWS = 2, 0.5, 36, 4
 FREQUENT = 1 << 17
 #: Hash buckets of the count that bounds each shingle's from above.
 _BITS = 19
-#: Random draws of each kind; a shingle takes others for each sample.
-_DRAWS_BITS = 18
+#: Random draws of each kind; a shingle takes others for each sample. A table of them fits a core's cache.
+_DRAWS_BITS = 16
 #: Members of a bucket that are compared with each other in one task.
 BLOCK = 512
 _tables: list[np.ndarray] = []
@@ -90,17 +90,26 @@ def sample(s: np.ndarray, w: np.ndarray, k: int, common: float | None = None) ->
 
     same = w == np.float32(common) if common else np.zeros(len(s), bool)
     for own in (np.flatnonzero(same), np.flatnonzero(~same)):
-        for i in range(0, len(own), 1024):
-            x = own[i : i + 1024]
-            draw = (low[x] + nth * high[x]) >> shift
+        for i in range(0, len(own), 512):
+            x = own[i : i + 512]
+            draw = nth * high[x]
+            draw += low[x]
+            draw >>= shift
+            draw = draw.astype(np.intp)
             if same[x[0]]:
                 t, lna = plain(float(np.float32(common)))
-                take(x, lna[draw], t, draw)
+                take(x, lna.take(draw, mode="clip"), t, draw)
             else:
-                inv, r, beta, lnc = tables()
-                b, rr = beta[draw], r[draw]
-                t = np.floor(np.log(w[x]).astype(np.float32) * inv[draw] + b)
-                take(x, lnc[draw] - rr * (t - b) - rr, t, None)
+                inv, r, beta, lna = (table.take(draw, mode="clip") for table in tables())
+                inv *= np.log(w[x]).astype(np.float32)
+                inv += beta
+                t = np.floor(inv, out=inv)
+                # ln a = ln c - r * (t - beta) - r
+                beta -= t
+                beta -= 1
+                beta *= r
+                lna += beta
+                take(x, lna, t, None)
     return out
 
 

@@ -96,7 +96,7 @@ def _counted(docs: DataFrame, columns: list[str], vocab: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = C.encoder(vocab)
         for b in batches:
-            n = [len(enc.ids(t)) for t in b.column(len(columns)).to_pylist()]
+            n = [len(x) for x in enc.many(b.column(len(columns)).to_pylist())]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(columns))), pa.array(n, pa.int64())], [*columns, "tokens"])
 
     fields = ", ".join(f"`{c}` {C.kind(docs, c)}" for c in columns)

@@ -99,7 +99,7 @@ def token_blocks(docs: DataFrame, vocab: str = C.VOCAB, block: int = BLOCK, shar
 
     Null and empty texts give n_tokens 0, an empty payload and no starts; a null doc_id stays null; repeated rows give
     repeated equal rows; other columns are ignored. ``vocab`` is a file of BPE ranks that all executors can read. One
-    narrow pass without a shuffle: whole texts, encoded in steps of about a million characters.
+    narrow pass without a shuffle: whole texts, encoded some hundred thousand characters at a time.
     """
     import pyarrow as pa
 
@@ -110,7 +110,7 @@ def token_blocks(docs: DataFrame, vocab: str = C.VOCAB, block: int = BLOCK, shar
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             for i, j in C.steps(texts):
-                ids = [enc.ids(t) for t in texts[i:j]]
+                ids = enc.many(texts[i:j])
                 coded = encode(ids, block, share)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array([len(x) for x in ids], pa.int64()), pa.array([p for p, _ in coded], pa.binary()), C.list_column([s for _, s in coded], np.int32)],
