@@ -107,3 +107,12 @@ def test_preflight(spark):
     for bad in ({"count": 1, "fraction": 0.5}, {"fraction": 0.0}, {"minimum": 3, "maximum": 2}):
         with pytest.raises(planning.PlanError):
             run(**bad)
+
+
+def test_index_takes_lengths_not_chunks(spark):
+    """The index is the one of the chunks, but Python gives their lengths alone."""
+    rows = [("a", "A" * 1300, "T", None), ("b", "One. Two.\n\n" * 90, "T", None), ("c", " ", None, None), ("d", None, None, None), ("e", "é\U0001d400 " * 400, None, None)]
+    df = docs(spark, rows).withColumns({"source": F.lit("s"), "license": F.lit(None).cast("string")})
+    own, ready = chunking.corpus_index(df, ["source"], 500, 50), chunking.corpus_index(chunking.chunked(df, 500, 50), ["source"], ready=True)
+    assert sorted(map(str, own.collect())) == sorted(map(str, ready.collect()))
+    assert df.select(chunking.chunk_lengths(df).alias("n")).schema["n"].dataType.simpleString() == "array<int>"
