@@ -116,3 +116,13 @@ def test_index_takes_lengths_not_chunks(spark):
     own, ready = chunking.corpus_index(df, ["source"], 500, 50), chunking.corpus_index(chunking.chunked(df, 500, 50), ["source"], ready=True)
     assert sorted(map(str, own.collect())) == sorted(map(str, ready.collect()))
     assert df.select(chunking.chunk_lengths(df).alias("n")).schema["n"].dataType.simpleString() == "array<int>"
+
+
+def test_plans_read_an_index_without_chunk_texts(spark, tmp_path, monkeypatch):
+    """Whatever the plan, Python gives the index no nested texts: chunks themselves aren't asked for."""
+    from sluice.plans import catalog
+
+    spark.createDataFrame([(i, "A sentence of it. " * (i % 9 * 40 + 1), "en", "s", 0) for i in range(80)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(chunking, "chunked", None)
+    got = catalog.roles_primary_reserve_active(spark, str(tmp_path)).collect()
+    assert len(got) == 40 and {r.role for r in got} == {"primary", "reserve"}
