@@ -362,6 +362,38 @@ def test_training_sees_every_id_once_and_not_the_partitions(spark, monkeypatch):
     assert seen == total and np.abs(a - flat).max() < 1e-4
 
 
+@pytest.mark.parametrize(("kind", "scale"), [("<u2", 1), ("<u4", 1), ("<u2", 40)])
+def test_jvm_trains_and_scores_as_numpy_does(spark, kind, scale):
+    rng = np.random.default_rng(8)
+    voc = vocabulary(8, 900)
+    assert L._in_jvm(spark) and len(voc.lo) % 4 and (voc.hi - voc.lo).max() > 32
+    ids = [rng.choice(np.flatnonzero(voc.rank >= 0), n).astype(kind) for n in (0, 1, 7, 31, 32, 33, 56, 57, 160, 160, 2000)]
+    flat = (voc.initial() + rng.normal(0, 0.1, len(voc.initial())) * scale).astype(np.float32)
+    packed = L.K.pack(flat, voc, np.dtype(kind).itemsize)
+    df = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(ids)], "i long, ids binary").coalesce(1)
+    score = L.K.function(spark, packed, 4, L.CHUNK, "double")
+    got = [r.s for r in df.selectExpr("i", f"{score}(ids, 0L) as s").sort("i").collect()]
+    assert got[0] == 0 and np.allclose(got, L.scores(voc.unpack(flat), ids, voc), rtol=1e-4, atol=1e-3)
+    if scale == 1:
+        learn = L.K.function(spark, packed, L.BATCH, 1 << 10, "array<binary>")
+        parts = df.sort("i").selectExpr("collect_list(ids) as all").selectExpr(f"{learn}(all, 3L) as p").first().p
+        got = np.frombuffer(b"".join(map(bytes, parts)), np.float32)
+        want, _ = L.train_pass(flat, ids, voc, 3, L.mixed_order)
+        assert np.abs(want - flat).max() > 0.1 and np.abs(got - want).max() < 1e-4
+        assert not np.array_equal(L.mixed_order(99, 3), L.mixed_order(99, 4)) and sorted(L.mixed_order(99, 3)) == list(range(99))
+
+
+def test_numpy_does_it_where_the_jvm_cannot(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"some words of text {i} and {i * i} more") for i in range(40)] + [(90, None)], "doc_id long, text string")
+    jvm = L.scored(docs)
+    assert "MapInArrow" not in jvm._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(L.K, "ready", lambda *_: False)
+    a, b = (sorted(x.collect()) for x in (jvm, L.scored(docs)))
+    assert [r[:2] for r in a] == [r[:2] for r in b] and jvm.schema == L.scored(docs).schema
+    assert np.allclose([r.logprob for r in a], [r.logprob for r in b], rtol=1e-4)
+    assert np.allclose([r.perplexity for r in a[:-1]], [r.perplexity for r in b[:-1]], rtol=1e-3) and a[-1].perplexity is None is b[-1].perplexity
+
+
 def test_training_beats_counts(spark):
     rng = random.Random(2)
     pairs = {f"left{i}": f"right{i}" for i in range(30)}
